@@ -329,8 +329,8 @@ ORACLES: dict[str, str] = {
             SELECT regexp_extract(line, '(\w+) \[([^\]]+)\]', 1) AS role, regexp_extract(line, '(\w+) \[([^\]]+)\]', 2) AS service
             FROM {process_list}) p ON p.service = c.service GROUP BY c.service, c.max_children""",
     "cpu_shares": """
-        SELECT host, sample_no, round(u / total * 100, 2) AS user_pct, round(d / total * 100, 2) AS idle_pct,
-               round(w / total * 100, 2) AS iow_pct, round(s / total * 100, 2) AS steal_pct
+        SELECT host, sample_no, floor(u / total * 100 * 100 + 0.5) / 100 AS user_pct, floor(d / total * 100 * 100 + 0.5) / 100 AS idle_pct,
+               floor(w / total * 100 * 100 + 0.5) / 100 AS iow_pct, floor(s / total * 100 * 100 + 0.5) / 100 AS steal_pct
         FROM (SELECT host, sample_no, CAST(u AS DOUBLE) AS u, CAST(d AS DOUBLE) AS d, CAST(w AS DOUBLE) AS w, CAST(s AS DOUBLE) AS s,
                      CAST(nullif(u + n + y + d + w + i + f + s, 0) AS DOUBLE) AS total FROM (
             SELECT host, sample_no, cpu_user - lag(cpu_user) OVER h AS u, cpu_nice - lag(cpu_nice) OVER h AS n,
@@ -340,10 +340,14 @@ ORACLES: dict[str, str] = {
             FROM {cpu_sample} WINDOW h AS (PARTITION BY host ORDER BY ts, sample_no)) WHERE u IS NOT NULL)""",
     "ram_shares": """
         SELECT host, sample_no, mem_free + buffers + cached AS available,
-               round(CAST(mem_free AS DOUBLE) / mem_total * 100, 2) AS free_pct,
-               round(CAST(buffers AS DOUBLE) / mem_total * 100, 2) AS buffers_pct,
-               round(CAST(cached AS DOUBLE) / mem_total * 100, 2) AS cached_pct,
-               round(CAST(mem_free + buffers + cached AS DOUBLE) / mem_total * 100, 2) AS available_pct FROM {ram_sample}""",
+               floor(CAST(mem_free AS DOUBLE) / mem_total * 100 * 100 + 0.5) / 100 AS free_pct,
+               floor(CAST(buffers AS DOUBLE) / mem_total * 100 * 100 + 0.5) / 100 AS buffers_pct,
+               floor(CAST(cached AS DOUBLE) / mem_total * 100 * 100 + 0.5) / 100 AS cached_pct,
+               floor(CAST(mem_free + buffers + cached AS DOUBLE) / mem_total * 100 * 100 + 0.5) / 100 AS available_pct FROM {ram_sample}""",
+    "stream_window_alert": f"""
+        SELECT * FROM ({windowed("Returning NULL", 60, 2, 4)})
+        WHERE window_start + INTERVAL 1 HOUR <= (SELECT date_trunc('second', max(ts)) - INTERVAL 1 HOUR FROM {{app_log}}
+                                                 WHERE contains(line, 'Returning NULL'))""",
     "window_count_alert": windowed("Returning NULL", 15, 2, 4),
     "hour_count_alert": windowed("IS NOT CONNECTED TO THE NETWORK", 60, 3, 6),
     "failed_trigger_events": """
@@ -372,14 +376,14 @@ ORACLES: dict[str, str] = {
                CASE WHEN value > 400 THEN 'CRIT' WHEN value > 300 THEN 'WARN' ELSE 'OK' END AS high_name
         FROM events""",
     "trace_related_lines": f"""
-        WITH RECURSIVE hits(line_no, auth, trace) AS (
+        SELECT * FROM (WITH RECURSIVE hits(line_no, auth, trace) AS (
             SELECT line_no, {found(LINE_AUTH)}, {found(LINE_TRACE)} FROM {{app_log}}
             WHERE contains(line, '8f14e45fceea167a5a36dedd4bea2543')
             UNION
             SELECT l.line_no, nullif(regexp_extract(l.line, '{LINE_AUTH}', 1), ''), nullif(regexp_extract(l.line, '{LINE_TRACE}', 1), '')
             FROM hits h JOIN {{app_log}} l ON l.line_no > h.line_no
              AND ((h.auth IS NOT NULL AND contains(l.line, h.auth)) OR (h.trace IS NOT NULL AND contains(l.line, h.trace))))
-        SELECT DISTINCT line_no FROM hits""",
+        SELECT DISTINCT line_no FROM hits)""",
     "chq_item_rows": f"SELECT ac_id, {HOLD_ROW} AS line FROM {{chq_items}} WHERE biblio_id IS NOT NULL",
     "chq_bib_rows": f"SELECT biblio_id, {BIB_ROW} AS line FROM {{chq_bibs}}",
     "org_descendants": "SELECT root, org_id FROM {scope}",

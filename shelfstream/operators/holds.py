@@ -38,12 +38,15 @@ def target_resolver(items: DataFrame, copy_part_map: DataFrame, metarecord_sourc
     """
     known = items.filter("biblio_id IS NOT NULL")
 
-    def entry(df, kind, key):
-        return df.select("root", F.lit(kind).alias("kind"), F.col(key).alias("key"), "biblio_id")
-
     parts = copy_part_map.select("part", F.col("target_copy").alias("ac_id"))
-    own = entry(known, "title", "biblio_id").unionByName(entry(known, "volume", "acn_id"))
-    own = own.unionByName(entry(known, "copy", "ac_id")).unionByName(entry(known.join(parts, "ac_id"), "part", "part"))
+    ways = {"title": "biblio_id", "volume": "acn_id", "copy": "ac_id", "part": "part"}
+    targets = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(key).alias("key")) for kind, key in ways.items()])
+    own = (
+        known.join(parts, "ac_id", "left")
+        .select("root", F.explode(targets).alias("t"), "biblio_id")
+        .select("root", "t.kind", "t.key", "biblio_id")
+        .filter("key IS NOT NULL")
+    )
     sources = metarecord_source_map.select(
         F.lit(None).cast("string").alias("root"),
         F.lit("metarecord").alias("kind"),

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from shelfstream.functions.dates import format_mmddyyyy
 from shelfstream.functions.text import csv_line, extract_isbns
 from shelfstream.operators.orgs import org_descendants, volume_owning
+from shelfstream.session import materialize
 
 ON_ORDER_STATUS = 9
 LENDING_HEADER = "BranchCode,CatalogueKey,EAN_ISBN13,Loans,Renewals,Holds,Copies,CopiesOut,CopiesOnOrder,DateEnd"
@@ -37,11 +38,12 @@ def lending(
     to undo with COUNT(DISTINCT), and all branches come from one pass.
     """
     now = F.lit(as_of).cast("timestamp_ntz")
-    branches = (
-        org_descendants(volume_owning_tree(org_unit), roots, match_case=True)
+    branches = materialize(
+        org_descendants(org_unit, roots, match_case=True)
         .join(volume_owning(org_unit, org_unit_type).select(F.col("id").alias("org_id"), "shortname"), "org_id")
         .select(F.col("org_id").alias("circ_lib"), F.col("shortname").alias("branch"))
-        .distinct()
+        .distinct(),
+        "branches",
     )
     copies = (
         copy.filter(~F.col("deleted"))
@@ -93,11 +95,6 @@ def lending(
     )
 
 
-def volume_owning_tree(org_unit: DataFrame) -> DataFrame:
-    """The whole tree: units that own no volumes still link their descendants."""
-    return org_unit.select("id", "shortname", "parent_ou")
-
-
 def lending_lines(rows: DataFrame) -> DataFrame:
     columns = ["branch_code", "catalogue_key", "isbns", *COUNTS, "date_end"]
     return rows.select(csv_line([F.col(c) for c in columns]).alias("line"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shelfstream.functions.dates import epoch_seconds, hour_trunc
 from shelfstream.functions.thresholds import classify
-from shelfstream.session import truncate_lineage
+from shelfstream.session import materialize
 
 # Texts that mark a log line.
 LOST_MARKS = ("listener count: 0", "controller count: 0", "master count: 0")
@@ -36,7 +37,7 @@ def service_health(lines: DataFrame) -> DataFrame:
 
 def health_per_hour(scored: DataFrame) -> DataFrame:
     """Worst severity and number of findings per hour."""
-    return scored.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
+    return scored.groupBy(hour_trunc(F.col("ts")).alias("hour")).agg(
         F.max("severity").alias("severity"),
         F.count(F.when(F.col("severity") > 0, 1)).alias("findings"),
     )
@@ -69,7 +70,7 @@ def missing_hours(lines: DataFrame, first_hour: str, last_hour: str) -> DataFram
             )
         ).alias("hour")
     )
-    seen = lines.select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).distinct()
+    seen = lines.select(hour_trunc(F.col("ts")).alias("hour")).distinct()
     return expected.join(seen, "hour", "left_anti").withColumn("severity", F.lit(1))
 
 
@@ -89,15 +90,15 @@ def service_counts(processes: DataFrame, config: DataFrame) -> DataFrame:
     )
 
 
-def sample_delta(samples: DataFrame, counters: list[str], bucket: str = "day") -> DataFrame:
+def sample_delta(samples: DataFrame, counters: list[str]) -> DataFrame:
     """Difference of each counter to the host's previous sample.
 
-    Samples are ordered within (host, time bucket); the first sample of a
-    bucket takes its predecessor from the host's previous bucket.  A host with
-    a large share of all samples is thereby spread over its buckets.
+    Samples are ordered within (host, hour); the first sample of an hour takes
+    its predecessor from the host's previous hour with samples.  A host with a
+    large share of all samples is thereby spread over its hours.
     """
     order = F.struct("ts", "sample_no")
-    stamped = samples.withColumn("_bucket", F.date_trunc(bucket, "ts"))
+    stamped = samples.withColumn("_bucket", hour_trunc(F.col("ts")))
     inner = Window.partitionBy("host", "_bucket").orderBy("ts", "sample_no")
     ends = stamped.groupBy("host", "_bucket").agg(
         *[F.max_by(c, order).alias(f"_end_{c}") for c in counters]
@@ -118,6 +119,10 @@ def sample_delta(samples: DataFrame, counters: list[str], bucket: str = "day") -
     )
 
 
+def two_places(value: Column) -> Column:
+    return F.floor(value * 100 + 0.5) / 100
+
+
 CPU_COUNTERS = [
     "cpu_user", "cpu_nice", "cpu_system", "cpu_idle", "cpu_iowait", "cpu_irq", "cpu_softirq", "cpu_steal",
 ]
@@ -129,7 +134,7 @@ def cpu_shares(samples: DataFrame) -> DataFrame:
     total = sum((F.col(f"d_{c}") for c in CPU_COUNTERS[1:]), F.col(f"d_{CPU_COUNTERS[0]}"))
 
     def share(counter):
-        return F.round(F.col(f"d_{counter}") / F.nullif(total, F.lit(0)) * 100, 2)
+        return two_places(F.col(f"d_{counter}") / F.nullif(total, F.lit(0)) * 100)
 
     return deltas.filter(F.col("d_cpu_user").isNotNull()).select(
         "host", "sample_no",
@@ -143,7 +148,7 @@ def ram_shares(samples: DataFrame, strict_reference: bool = False) -> DataFrame:
     available = F.col("mem_free") + F.col("buffers") + F.col("cached")
 
     def share(amount):
-        return F.round(amount / F.nullif(F.col("mem_total"), F.lit(0)) * 100, 2)
+        return two_places(amount / F.nullif(F.col("mem_total"), F.lit(0)) * 100)
 
     return samples.select(
         "host", "sample_no", available.alias("available"),
@@ -210,18 +215,16 @@ def oldest_query(activity: DataFrame) -> DataFrame:
 def long_query(activity: DataFrame, now: str, warn_hours: int = 5, crit_hours: int = 7) -> DataFrame:
     """Full hours the oldest real query has run, per database, with the level."""
     oldest = real_queries(activity).groupBy("database").agg(F.min("query_start").alias("query_start"))
-    seconds = F.unix_timestamp(F.lit(now).cast("timestamp_ntz").cast("timestamp")) - F.unix_timestamp(
-        F.col("query_start").cast("timestamp")
-    )
+    seconds = epoch_seconds(F.lit(now).cast("timestamp_ntz")) - epoch_seconds(F.col("query_start"))
     hours = F.floor(seconds / 3600).cast("bigint")
     return oldest.select("database", hours.alias("hours"), classify(hours, warn_hours, crit_hours).alias("severity"))
 
 
-def _run_pieces(run: Column, size: Column) -> Column:
+def _run_pieces(run: Column, size: int) -> Column:
     """All substrings of ``run`` with ``size`` characters."""
     last = F.length(run) - size + 1
     return F.when(
-        last >= 1, F.transform(F.sequence(F.lit(1), last), lambda start: F.substring(run, start, size))
+        last >= 1, F.transform(F.sequence(F.lit(1), last), lambda start: F.substring(run, start, F.lit(size)))
     ).otherwise(F.array().cast("array<string>"))
 
 
@@ -255,17 +258,20 @@ def trace_related_lines(
     terms = F.array_distinct(
         F.array_compact(F.array(*[F.nullif(F.regexp_extract("line", p, 1), F.lit("")) for p in patterns]))
     )
-    yields = truncate_lineage(lines.select("line_no", F.explode(terms).alias("term")))
+    yields = materialize(lines.select("line_no", F.explode(terms).alias("term")), "trace-yields")
     known_terms = yields.select("term").distinct()
-    sizes = known_terms.select(F.length("term").alias("size")).distinct().agg(F.sort_array(F.collect_set("size")).alias("sizes"))
+    # The distinct term lengths: a handful of small numbers.
+    sizes = sorted(row["size"] for row in known_terms.select(F.length("term").alias("size")).distinct().collect())
+    if not sizes:
+        return lines.join(reached, "line_no", "left_semi")
     runs = lines.select("line_no", F.explode(F.regexp_extract_all("line", F.lit("([0-9a-f]+)"), F.lit(1))).alias("run"))
     pieces = runs.select(
         "line_no",
-        F.explode(F.flatten(F.transform(sizes.select("sizes").scalar(), lambda n: _run_pieces(F.col("run"), n)))).alias("term"),
+        F.explode(F.concat(*[_run_pieces(F.col("run"), size) for size in sizes])).alias("term"),
     ).distinct()
-    holds = truncate_lineage(pieces.join(known_terms, "term", "left_semi"))
+    holds = materialize(pieces.join(known_terms, "term", "left_semi"), "trace-holds")
 
-    reached = truncate_lineage(reached)
+    reached = materialize(reached, "trace-reached")
     fresh = reached
     active = None
     while True:
@@ -277,15 +283,15 @@ def trace_related_lines(
             news = found.join(seen, "term", "left").filter(
                 F.col("known_since").isNull() | (F.col("since") < F.col("known_since"))
             ).select("term", "since")
-        news = truncate_lineage(news)
+        news = materialize(news, "trace-news")
         later = (
             holds.join(news, "term").filter(F.col("line_no") > F.col("since"))
             .select("line_no").distinct()
             .join(reached, "line_no", "left_anti")
         )
-        fresh = truncate_lineage(later)
+        fresh = materialize(later, "trace-fresh")
         if fresh.isEmpty():
             break
-        reached = truncate_lineage(reached.unionByName(fresh))
-        active = news if active is None else truncate_lineage(active.unionByName(news))
+        reached = reached.unionByName(fresh)
+        active = news if active is None else active.unionByName(news)
     return lines.join(reached, "line_no", "left_semi")

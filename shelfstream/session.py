@@ -45,9 +45,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/shelfstream/{label}-{uuid.uuid4().hex}"
 
 
-def truncate_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder (survives executor loss)."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to a new table in the shared folder and read it back.
+
+    Cuts the lineage, survives executor loss, and lets Catalyst see the true
+    size: a small result is broadcast by the ordinary threshold, a large one
+    is shuffled.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,6 +19,16 @@ def stream_log_lines(spark: SparkSession, path: str, max_files_per_trigger: int
     return with_hour(reader.text(path))
 
 
+def stamped_line(value):
+    """(ts, line) of text led by ``yyyy-MM-dd HH:mm:ss[.ffffff] host ``; ``ts`` is NULL without it."""
+    pattern = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?:\.\d+)?) \S+ (.*)$"
+    matched = value.rlike(pattern)
+    return F.struct(
+        F.when(matched, F.regexp_extract(value, pattern, 1).try_cast("timestamp_ntz")).alias("ts"),
+        F.when(matched, F.regexp_extract(value, pattern, 2)).otherwise(value).alias("line"),
+    )
+
+
 def with_hour(lines: DataFrame) -> DataFrame:
     path = F.col("_metadata.file_path")
     parts = [F.regexp_extract(path, HOUR_IN_PATH, n) for n in range(1, 5)]

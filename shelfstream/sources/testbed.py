@@ -480,7 +480,7 @@ TABLES: dict[str, str] = {
         FROM {events} WHERE event_type <> 'click' OR value < 100
     """,
     "service_config": """
-        SELECT DISTINCT 'svc.' || event_type AS service, 2000 + length(event_type) * 10 AS max_children FROM {events}
+        SELECT DISTINCT 'svc.' || event_type AS service, CAST(2000 + length(event_type) * 10 AS BIGINT) AS max_children FROM {events}
     """,
 }
 

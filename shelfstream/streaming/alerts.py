@@ -27,7 +27,10 @@ def stream_service_health(lines: DataFrame, output: str, checkpoint: str) -> Str
 def stream_window_counts(
     lines: DataFrame, mark: str, minutes: int, warn: int, crit: int, lateness: str, output: str, checkpoint: str
 ) -> StreamingQuery:
-    """Marked lines per window, emitted once the watermark has passed the window."""
+    """Marked lines per window, emitted once the watermark has passed the window.
+
+    ``ts`` is an instant (watermarks need one); the query's windows follow UTC.
+    """
     counts = (
         lines.filter(F.col("line").contains(mark))
         .withWatermark("ts", lateness)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -13,7 +14,7 @@ from shelfstream.operators import (
 )
 from shelfstream.plans.report_registry import REPORTS
 from shelfstream.plans.reports import run_report
-from shelfstream.session import configure_session, fresh_path
+from shelfstream.session import configure_session, fresh_path, materialize
 from shelfstream.sources import logs as log_source, sinks
 from shelfstream.sources.testbed import RUN_DATE, Testbed
 from shelfstream.streaming import alerts
@@ -36,13 +37,10 @@ class Jobs:
         configure_session(spark)
         self.spark = spark
         self.t = Testbed(spark, folder)
-        self._scope: DataFrame | None = None
 
-    @property
+    @cached_property
     def scope(self) -> DataFrame:
-        if self._scope is None:
-            self._scope = orgs.org_descendants(self.t.org_unit, SCOPE_ROOTS)
-        return self._scope
+        return materialize(orgs.org_descendants(self.t.org_unit, SCOPE_ROOTS), "scope")
 
     def active_copies(self, as_of: str | None = RUN_DATE) -> DataFrame:
         return copies.circulating_copies(self.t.copy, self.t.copy_location, self.scope, EXCLUDED, as_of)
@@ -118,21 +116,22 @@ class Jobs:
             BRANCH_ROOTS, LENDING_DATE,
         )
 
+    @cached_property
     def one_scope(self) -> DataFrame:
-        return orgs.org_descendants(self.t.org_unit, ["ASIA"], match_case=True)
+        return materialize(orgs.org_descendants(self.t.org_unit, ["ASIA"], match_case=True), "scope")
 
     def collection_items(self) -> DataFrame:
         t = self.t
         return collection.collection_items(
             t.copy, t.copy_location, t.call_number, t.org_unit,
             circ.last_circ(t.circulation, t.aged_circulation, t.org_unit),
-            t.copy_note, t.full_rec, t.record_entry, self.one_scope(),
+            t.copy_note, t.full_rec, t.record_entry, self.one_scope,
         )
 
     def collection_bibs(self) -> DataFrame:
         t = self.t
         return collection.collection_bibs(
-            t.record_entry, t.call_number, t.copy, t.simple_record, t.full_rec, self.one_scope()
+            t.record_entry, t.call_number, t.copy, t.simple_record, t.full_rec, self.one_scope
         )
 
     def item_rows(self) -> DataFrame:
@@ -177,32 +176,28 @@ def src_relational(j):
 
 
 def _written_service_log(j) -> str:
-    """Status lines as hourly text files in the shared folder: ``YYYY/MM/DD/stats.HH.log``."""
+    """Status lines as text files per day in the shared folder, each line led by its time."""
     path = fresh_path(j.spark, "service-log")
-    hour_path = F.concat(F.date_format("ts", "yyyy/MM/dd"), F.lit("/stats."), F.date_format("ts", "HH"), F.lit(".log"))
-    j.t.service_log.select(hour_path.alias("file"), "line").write.partitionBy("file").text(path)
+    stamped = F.concat_ws(" ", F.col("ts").cast("string"), "host", "line")
+    j.t.service_log.select(F.to_date("ts").alias("day"), stamped.alias("value")).write.partitionBy("day").text(path)
     return path
 
 
-def _read_service_log(spark, path, stream):
-    # partition folders carry the escaped file name; the hour is parsed from it
-    reader = spark.readStream.schema("value string, file string") if stream else spark.read.schema("value string, file string")
-    lines = reader.format("text").load(path)
-    hour = F.to_timestamp_ntz(F.regexp_replace("file", r"/stats\.(\d+)\.log", " $1"), F.lit("yyyy/MM/dd HH"))
-    return lines.select(F.col("value").alias("line"), hour.alias("ts"))
+def _streamed_service_log(spark, path):
+    lines = spark.readStream.schema("value string, day date").format("text").load(path)
+    return lines.select(log_source.stamped_line(F.col("value")).alias("l")).select("l.ts", "l.line")
 
 
 @query
 def src_log_text(j):
-    """Hourly files written by Spark, then read back as a resumable stream into a table."""
-    lines = _read_service_log(j.spark, _written_service_log(j), stream=True)
+    """Daily files written by Spark, then read back as a resumable stream into a table."""
+    lines = _streamed_service_log(j.spark, _written_service_log(j))
     out, mark = fresh_path(j.spark, "lines"), fresh_path(j.spark, "lines-checkpoint")
     lines.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).trigger(
         availableNow=True
     ).start().awaitTermination()
-    return j.spark.read.schema("line string, ts timestamp_ntz").parquet(out).groupBy(F.col("ts").alias("hour")).agg(
-        F.count(F.lit(1)).alias("lines")
-    )
+    stored = j.spark.read.schema("ts timestamp_ntz, line string").parquet(out)
+    return stored.groupBy(dates.hour_trunc(F.col("ts")).alias("hour")).agg(F.count(F.lit(1)).alias("lines"))
 
 
 @query
@@ -650,7 +645,7 @@ def any_item_type(j):
 
 @query
 def ordered_items(j):
-    scope = j.one_scope().select(F.col("org_id").alias("circ_lib"))
+    scope = j.one_scope.select(F.col("org_id").alias("circ_lib"))
     return j.t.copy.filter(~F.col("deleted")).join(scope, "circ_lib", "left_semi").select("id", "barcode").orderBy("id")
 
 
@@ -892,10 +887,10 @@ def parse_service_health(j):
 
 @query
 def stream_service_health(j):
-    lines = _read_service_log(j.spark, _written_service_log(j), stream=True)
+    lines = _streamed_service_log(j.spark, _written_service_log(j))
     out = fresh_path(j.spark, "health")
     alerts.stream_service_health(lines, out, fresh_path(j.spark, "health-checkpoint")).awaitTermination()
-    scored = j.spark.read.schema("line string, ts timestamp_ntz, drone_pct bigint, severity int").parquet(out)
+    scored = j.spark.read.schema("ts timestamp_ntz, line string, drone_pct bigint, severity int").parquet(out)
     return logs.health_per_hour(scored)
 
 
@@ -905,13 +900,13 @@ def stream_window_alert(j):
     source = fresh_path(j.spark, "app-log")
     j.t.app_log.select("ts", "line").repartitionByRange("ts").write.parquet(source)
     lines = j.spark.readStream.schema("ts timestamp_ntz, line string").parquet(source)
-    lines = lines.withColumn("ts", F.col("ts").cast("timestamp"))
+    lines = lines.withColumn("ts", F.timestamp_seconds(dates.epoch_seconds(F.col("ts"))))
     out = fresh_path(j.spark, "windows")
     alerts.stream_window_counts(
         lines, "Returning NULL", 60, 2, 4, "1 hour", out, fresh_path(j.spark, "windows-checkpoint")
     ).awaitTermination()
     return j.spark.read.schema("window_start timestamp, n bigint, severity int").parquet(out).select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n", "severity"
+        dates.from_epoch_seconds(F.unix_seconds("window_start")).alias("window_start"), "n", "severity"
     )
 
 
