@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfstream.functions.text import attempt_price
 from shelfstream.operators.copies import before_day
 
 
@@ -97,17 +96,15 @@ def arrivals(transit_copy: DataFrame, copy: DataFrame) -> DataFrame:
 def loans_after_arrival(circulation: DataFrame, arrived: DataFrame) -> DataFrame:
     """Live loans that began after the copy's arrival, 0 where there were none.
 
-    Equal start times of a copy are folded before the join.
+    The range condition sits on an inner join, where a copy with very many
+    loans can be split over tasks; only its count is joined back.
     """
-    starts = (
-        circulation.groupBy(F.col("target_copy").alias("ac_id"), "xact_start").agg(F.count("id").alias("n"))
+    starts = circulation.select(F.col("target_copy").alias("ac_id"), "xact_start")
+    later = (
+        starts.join(arrived, "ac_id")
+        .filter(F.col("xact_start") > F.col("arrived"))
+        .groupBy("ac_id").agg(F.count(F.lit(1)).alias("n"))
     )
-    return (
-        arrived.join(starts, "ac_id", "left")
-        .groupBy("ac_id", "arrived")
-        .agg(F.coalesce(F.sum(F.when(F.col("xact_start") > F.col("arrived"), F.col("n"))), F.lit(0)).cast("bigint").alias("uses_since_arrival"))
+    return arrived.join(later, "ac_id", "left").select(
+        "ac_id", "arrived", F.coalesce("n", F.lit(0)).cast("bigint").alias("uses_since_arrival")
     )
-
-
-def copy_price(copies: DataFrame) -> DataFrame:
-    return copies.withColumn("price_cents", attempt_price(F.col("price").cast("string")))

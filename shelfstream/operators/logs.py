@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfstream.functions.dates import epoch_seconds, hour_trunc
 from shelfstream.functions.thresholds import classify
-from shelfstream.session import materialize
+from shelfstream.session import materialize, materialize_counted
 
 # Texts that mark a log line.
 LOST_MARKS = ("listener count: 0", "controller count: 0", "master count: 0")
@@ -244,8 +244,8 @@ def trace_related_lines(
     Followed terms are digits or hexadecimal digits, so each line is cut into
     the substrings of its hexadecimal runs that have a term's length, and the
     substring test becomes an equi-join.  Which line yields and which line
-    holds a term is worked out once and kept in the shared folder; the rounds
-    then move only newly reached terms and lines until nothing new appears.
+    holds a term is worked out once and kept in the shared folder; each round
+    then joins only the lines reached in the round before, until none is new.
     """
     direct = F.col("line").contains(search)
     if include_errors:
@@ -267,31 +267,19 @@ def trace_related_lines(
     runs = lines.select("line_no", F.explode(F.regexp_extract_all("line", F.lit("([0-9a-f]+)"), F.lit(1))).alias("run"))
     pieces = runs.select(
         "line_no",
-        F.explode(F.concat(*[_run_pieces(F.col("run"), size) for size in sizes])).alias("term"),
-    ).distinct()
+        F.explode(F.array_distinct(F.concat(*[_run_pieces(F.col("run"), size) for size in sizes]))).alias("term"),
+    )
     holds = materialize(pieces.join(known_terms, "term", "left_semi"), "trace-holds")
 
-    reached = materialize(reached, "trace-reached")
+    reached, size = materialize_counted(reached, "trace-reached")
     fresh = reached
-    active = None
-    while True:
+    while size:
         found = fresh.join(yields, "line_no").groupBy("term").agg(F.min("line_no").alias("since"))
-        if active is None:
-            news = found
-        else:
-            seen = active.groupBy("term").agg(F.min("since").alias("known_since"))
-            news = found.join(seen, "term", "left").filter(
-                F.col("known_since").isNull() | (F.col("since") < F.col("known_since"))
-            ).select("term", "since")
-        news = materialize(news, "trace-news")
         later = (
-            holds.join(news, "term").filter(F.col("line_no") > F.col("since"))
+            holds.join(found, "term").filter(F.col("line_no") > F.col("since"))
             .select("line_no").distinct()
             .join(reached, "line_no", "left_anti")
         )
-        fresh = materialize(later, "trace-fresh")
-        if fresh.isEmpty():
-            break
+        fresh, size = materialize_counted(later, "trace-reached")
         reached = reached.unionByName(fresh)
-        active = news if active is None else active.unionByName(news)
     return lines.join(reached, "line_no", "left_semi")

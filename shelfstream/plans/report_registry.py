@@ -356,7 +356,7 @@ _ACQUISITION_REPORTS = (
             left("bre2", "acn.record"), left("mrd", "bre2.id", "record")),
            (Out("lang", "mrd.item_lang"), Out("call_number", "acn.label"), Out("record_id", "rhcrpb.id"),
             *_TITLE_COLUMNS, *_RATIO_COLUMNS),
-           (_RATIO_AT_LEAST, between("acn.label"))),
+           (_RATIO_AT_LEAST, between("acn.label")), fold_leaves=("acp",)),
     Report("rpt_popular_titles_on_hold", "Popular Titles on Hold", ACQUISITIONS, "rhcrpb",
            (left("bre", "rhcrpb.id"), RMSR), _POPULAR_COLUMNS, (_RATIO_AT_LEAST,)),
     Report("rpt_size_of_collection_report", "Size of Collection Report", ACQUISITIONS, "acp", _COPIES_AND_LOANS,
@@ -370,7 +370,7 @@ _ACQUISITION_REPORTS = (
             left("rmsr", "bre3.id"), left("acp", "acn2.id", "call_number")),
            (Out("lang", "mrd.item_lang"), Out("call_number", "acn.label"), Out("record_id", "bre.id"),
             *_TITLE_COLUMNS, *_RATIO_COLUMNS),
-           (between("acn.label"), _RATIO_AT_LEAST)),
+           (between("acn.label"), _RATIO_AT_LEAST), fold_leaves=("acp",)),
     Report("rpt_new_popular_titles_on_hold", "NEW Popular Titles on Hold", ACQUISITIONS, "rhcrpb",
            (left("bre", "rhcrpb.id"), left("acn", "bre.id", "record"), left("bre2", "acn.record"), left("rmsr", "bre2.id")),
            _POPULAR_COLUMNS, (_RATIO_AT_LEAST,)),

@@ -56,7 +56,7 @@ class Report:
     joins: tuple[Join, ...]
     columns: tuple[Out, ...]
     filters: tuple[Where, ...]
-    # Leaf tables whose rows are counted per join key before they are joined.
+    # Leaf tables whose rows are counted (or reduced to a maximum) per join key before they are joined.
     fold_leaves: tuple[str, ...] = ()
 
     @property
@@ -170,10 +170,12 @@ def run_report(
                 value = date_part(grouped_parts[source], value)
             columns.append(value.alias(_flat(source)))
         if fold:
-            sums = [
-                F.sum(_split(o.source)[1]).alias(f"_sum_{o.name}") for o in aggregated.get(alias, ()) if o.agg == "sum"
+            partial = {"sum": F.sum, "max": F.max}
+            values = [
+                partial[o.agg](_split(o.source)[1]).alias(f"_{o.agg}_{o.name}")
+                for o in aggregated.get(alias, ()) if o.agg in partial
             ]
-            return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(f"_n_{alias}"), *sums)
+            return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(f"_n_{alias}"), *values)
         extra = [
             F.col(_split(o.source)[1]).alias(f"_agg_{o.name}") for o in aggregated.get(alias, ())
         ]
@@ -206,7 +208,9 @@ def run_report(
 
 def _aggregate(out: Out, folded: set[str]) -> Column:
     alias, _ = _split(out.source)
-    if not folded:
+    if out.agg == "max" and alias in folded:
+        return F.max(f"_max_{out.name}").alias(out.name)
+    if not folded or out.agg in ("max", "count_distinct"):
         value = F.col(f"_agg_{out.name}")
         functions = {"count": F.count, "count_distinct": F.count_distinct, "sum": F.sum, "max": F.max}
         return functions[out.agg](value).alias(out.name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 # Runtime SQL settings every job relies on.  Broadcasts stay size-checked by
 # Catalyst (autoBroadcastJoinThreshold); skewed join partitions are split at
@@ -55,3 +55,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """:func:`materialize` with the row count, taken while the table is written."""
+    observed = Observation()
+    table = materialize(df.observe(observed, F.count(F.lit(1)).alias("rows")), label)
+    return table, observed.get["rows"]

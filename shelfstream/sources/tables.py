@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Column types of the supplied parquet tables.  A declared schema saves the
@@ -54,3 +56,18 @@ def read_jdbc_table(
         numPartitions=num_partitions,
         properties={"fetchsize": "10000", **(properties or {})},
     )
+
+
+class TableSet:
+    """Contract tables as attributes, each read on first use by ``reader(name)``."""
+
+    def __init__(self, reader: Callable[[str], DataFrame]):
+        self._reader = reader
+        self._tables: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        if name not in self._tables:
+            self._tables[name] = self._reader(name)
+        return self._tables[name]

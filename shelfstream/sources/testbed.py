@@ -455,7 +455,7 @@ TABLES: dict[str, str] = {
                  || ':' || CAST(7000000 + event_id AS STRING) || '] '
                  || CASE WHEN event_type = 'error' THEN 'Returning NULL'
                          WHEN value > 300 THEN 'IS NOT CONNECTED TO THE NETWORK'
-                         WHEN event_type = 'signup' THEN 'login token ' || md5(CAST(event_id % 1000 AS STRING))
+                         WHEN event_type = 'signup' THEN 'login token ' || md5(CAST(event_id % 100 AS STRING))
                          ELSE 'call ' || CAST(7000000 + event_id - 1 AS STRING) || ' finished' END AS line
         FROM {{events}}
     """,

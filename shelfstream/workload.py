@@ -4,166 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shelfstream.functions import dates, marc, text, thresholds
 from shelfstream.operators import (
-    bibs, circulation as circ, collection, copies, holds, koha, lending, logs, newest, orders, orgs, ratio, transactions,
+    bibs, circulation as circ, collection, copies, holds, koha, lending, logs, newest, orgs, transactions,
 )
+from shelfstream.plans.exports import HISTORICAL_DATE, LibraryJobs, Settings
 from shelfstream.plans.report_registry import REPORTS
-from shelfstream.plans.reports import run_report
-from shelfstream.session import configure_session, fresh_path, materialize
+from shelfstream.session import fresh_path
 from shelfstream.sources import logs as log_source, sinks
 from shelfstream.sources.testbed import RUN_DATE, Testbed
 from shelfstream.streaming import alerts
 
-SCOPE_ROOTS = ("asia", "nation_8")
-BRANCH_ROOTS = ["ASIA", "NATION_8"]
-EXCLUDED = ("ECONOMY", "PROMO")
-HISTORICAL_DATE = "1800-01-01"
-LENDING_DATE = "1999-07-01"
 EVENT_DAY = "2024-01-15"
 EVENT_NOW = "2024-01-30"
 LOCATIONS = (1, 2, 3, 5, 8, 13)
 TRACE_SEARCH = "8f14e45fceea167a5a36dedd4bea2543"
 
 
-class Jobs:
-    """Composite steps over one data folder, built on demand."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        configure_session(spark)
-        self.spark = spark
-        self.t = Testbed(spark, folder)
-
-    @cached_property
-    def scope(self) -> DataFrame:
-        return materialize(orgs.org_descendants(self.t.org_unit, SCOPE_ROOTS), "scope")
-
-    def active_copies(self, as_of: str | None = RUN_DATE) -> DataFrame:
-        return copies.circulating_copies(self.t.copy, self.t.copy_location, self.scope, EXCLUDED, as_of)
-
-    def trans_copies(self, as_of: str | None = RUN_DATE) -> DataFrame:
-        return copies.circulating_copies(self.t.copy, self.t.copy_location, self.scope, EXCLUDED, as_of, keep_deleted=True)
-
-    def volumes(self) -> DataFrame:
-        return copies.volume_display(self.t.call_number, self.t.call_number_prefix, self.t.call_number_suffix)
-
-    def funds(self) -> DataFrame:
-        return copies.fund_by_copy(self.t.acq_lineitem_detail, self.t.fund)
-
-    def items(self, as_of: str | None = RUN_DATE) -> DataFrame:
-        return copies.item_table(
-            self.active_copies(as_of), self.t.org_unit, self.t.copy_status, self.volumes(),
-            copies.isbn_text(self.t.simple_record), self.funds(),
-        )
-
-    def circ_stats(self, window_date: str = RUN_DATE, until: str | None = RUN_DATE) -> DataFrame:
-        return circ.circ_stats(self.t.circulation, self.t.aged_circulation, window_date, until)
-
-    def items_file(self) -> DataFrame:
-        return circ.items_with_circs(self.items(), self.circ_stats())
-
-    def order_counts(self) -> DataFrame:
-        t = self.t
-        return orders.order_counts(t.purchase_order, t.acq_lineitem, t.acq_lineitem_detail, t.org_unit, self.scope)
-
-    def hold_items(self, as_of: str | None = RUN_DATE) -> DataFrame:
-        return holds.hold_items(self.trans_copies(as_of), self.t.call_number)
-
-    def resolver(self, as_of: str | None = RUN_DATE) -> DataFrame:
-        return holds.target_resolver(self.hold_items(as_of), self.t.copy_part_map, self.t.metarecord_source_map)
-
-    def open_holds(self) -> DataFrame:
-        return holds.scoped_holds(holds.open_holds(self.t.hold_request, RUN_DATE), self.scope, self.t.org_unit)
-
-    def all_holds(self) -> DataFrame:
-        return holds.scoped_holds(self.t.hold_request, self.scope, self.t.org_unit)
-
-    def hold_counts(self) -> DataFrame:
-        return holds.hold_counts(holds.fold_holds(self.open_holds()), self.resolver(), self.t.metarecord_source_map)
-
-    def metarecords(self) -> DataFrame:
-        return holds.held_metarecords(holds.fold_holds(self.open_holds()), self.resolver(), self.t.metarecord_source_map)
-
-    def transactions(self, as_of: str | None = RUN_DATE, every_copy_deleted: bool = False) -> DataFrame:
-        return transactions.transactions(
-            self.trans_copies(as_of), self.t.call_number, self.t.circulation, self.t.org_unit, as_of, every_copy_deleted
-        )
-
-    def distinct_bibs(self) -> DataFrame:
-        return bibs.distinct_bibs(self.active_copies(None), self.t.call_number)
-
-    def bib_fields(self) -> DataFrame:
-        return bibs.bib_fields(self.t.record_entry, self.t.simple_record, self.t.record_attr_flat)
-
-    def upsert(self) -> DataFrame:
-        t = self.t
-        return bibs.upsert_bibs(
-            t.bib_extract, self.distinct_bibs(), t.record_entry, t.simple_record, t.record_attr_flat, f"{RUN_DATE} 00:00:00"
-        )
-
-    def branches(self) -> DataFrame:
-        t = self.t
-        return orgs.branch_file(t.org_unit, t.org_unit_type, t.org_address, t.usr, BRANCH_ROOTS, LENDING_DATE)
-
-    def lending(self) -> DataFrame:
-        t = self.t
-        return lending.lending(
-            t.org_unit, t.org_unit_type, t.copy, t.circulation, t.hold_request, t.call_number, t.simple_record,
-            BRANCH_ROOTS, LENDING_DATE,
-        )
-
-    @cached_property
-    def one_scope(self) -> DataFrame:
-        return materialize(orgs.org_descendants(self.t.org_unit, ["ASIA"], match_case=True), "scope")
-
-    def collection_items(self) -> DataFrame:
-        t = self.t
-        return collection.collection_items(
-            t.copy, t.copy_location, t.call_number, t.org_unit,
-            circ.last_circ(t.circulation, t.aged_circulation, t.org_unit),
-            t.copy_note, t.full_rec, t.record_entry, self.one_scope,
-        )
-
-    def collection_bibs(self) -> DataFrame:
-        t = self.t
-        return collection.collection_bibs(
-            t.record_entry, t.call_number, t.copy, t.simple_record, t.full_rec, self.one_scope
-        )
-
-    def item_rows(self) -> DataFrame:
-        return collection.collection_item_rows(self.collection_items(), "AUTH", RUN_DATE)
-
-    def bib_rows(self) -> DataFrame:
-        return collection.collection_bib_rows(self.collection_bibs(), "SVC", RUN_DATE)
-
-    def ratio(self) -> DataFrame:
-        t = self.t
-        return ratio.hold_copy_ratio(
-            t.hold_request, t.hold_request_record, t.copy, t.copy_location, t.copy_status, t.call_number, t.record_entry
-        )
-
-    def koha_items_file(self) -> DataFrame:
-        t = self.t
-        return koha.item_table(
-            t.koha_items, t.koha_biblioitems, koha.fund_by_item(t.koha_aqorders_items, t.koha_aqorders, t.koha_aqbudgets),
-            koha.circ_stats(t.koha_issues, t.koha_old_issues, RUN_DATE), RUN_DATE,
-        )
+SETTINGS = Settings(
+    run_date=RUN_DATE,
+    scope_roots=("asia", "nation_8"),
+    excluded_modifiers=("ECONOMY", "PROMO"),
+    branch_roots=("ASIA", "NATION_8"),
+    lending_date="1999-07-01",
+    collection_root="ASIA",
+)
 
-    def report_table(self, name: str) -> DataFrame:
-        return self.ratio() if name == "hold_copy_ratio" else self.t.table(name)
 
-    def marc_fields(self) -> DataFrame:
-        return self.t.record_entry.select("id", marc.parse_marc(F.col("marc")).alias("fields"))
+def jobs(spark: SparkSession, folder: str) -> LibraryJobs:
+    return LibraryJobs(spark, Testbed(spark, folder), SETTINGS)
 
 
-QUERIES: dict[str, Callable[[Jobs], DataFrame]] = {}
+QUERIES: dict[str, Callable[[LibraryJobs], DataFrame]] = {}
 
 
-def query(function: Callable[[Jobs], DataFrame]) -> Callable[[Jobs], DataFrame]:
+def query(function: Callable[[LibraryJobs], DataFrame]) -> Callable[[LibraryJobs], DataFrame]:
     QUERIES[function.__name__] = function
     return function
 
@@ -241,8 +119,7 @@ def sink_holds_csv(j):
 
 @query
 def sink_holds_alltime_csv(j):
-    counts = holds.hold_counts(holds.fold_holds(j.all_holds()), j.resolver(None), j.t.metarecord_source_map)
-    return _file(counts, sinks.HOLDS_ALLTIME)
+    return _file(j.hold_counts(historical=True), sinks.HOLDS_ALLTIME)
 
 
 @query
@@ -294,7 +171,7 @@ def run_audit(j):
 # ---- job arguments --------------------------------------------------------
 @query
 def exclude_modifiers(j):
-    return copies.exclude_modifiers(j.t.copy, EXCLUDED).select("id", "circ_modifier")
+    return copies.exclude_modifiers(j.t.copy, SETTINGS.excluded_modifiers).select("id", "circ_modifier")
 
 
 @query
@@ -315,12 +192,12 @@ def _copy_ids(df):
 
 @query
 def filter_active_copies(j):
-    return _copy_ids(j.active_copies())
+    return _copy_ids(j.active_copies(RUN_DATE))
 
 
 @query
 def filter_trans_copies(j):
-    return _copy_ids(j.trans_copies())
+    return _copy_ids(j.trans_copies(RUN_DATE))
 
 
 @query
@@ -378,25 +255,25 @@ def address_concat(j):
 # ---- joins ------------------------------------------------------------------
 @query
 def join_items_dims(j):
-    return copies.item_dimensions(j.active_copies(), j.t.org_unit, j.t.copy_status).select(
+    return copies.item_dimensions(j.active_copies(RUN_DATE), j.t.org_unit, j.t.copy_status).select(
         "root", "id", "location_name", "library", "status_name"
     )
 
 
 @query
 def join_volume(j):
-    return j.active_copies().join(j.volumes(), "call_number", "left").select("root", "id", "biblio_id", "call_number_text")
+    return j.active_copies(RUN_DATE).join(j.volumes(), "call_number", "left").select("root", "id", "biblio_id", "call_number_text")
 
 
 @query
 def join_fund(j):
-    return j.active_copies().select("root", F.col("id").alias("ac_id")).join(j.funds(), "ac_id", "left")
+    return j.active_copies(RUN_DATE).select("root", F.col("id").alias("ac_id")).join(j.funds(), "ac_id", "left")
 
 
 @query
 def join_isbn_array(j):
     titles = copies.isbn_text(j.t.simple_record)
-    return j.hold_items().join(titles, "biblio_id", "left").select("root", "ac_id", "biblio_id", "eans")
+    return j.hold_items(RUN_DATE).join(titles, "biblio_id", "left").select("root", "ac_id", "biblio_id", "eans")
 
 
 @query
@@ -412,13 +289,13 @@ def koha_join_eans_strict(j):
 
 @query
 def semi_in_items(j):
-    items = j.active_copies().select(F.col("id").alias("ac_id"))
-    return circ.in_items(j.circ_stats(), items).select("ac_id", "all_circs")
+    items = j.active_copies(RUN_DATE).select(F.col("id").alias("ac_id"))
+    return circ.in_items(j.circ_stats(RUN_DATE, RUN_DATE), items).select("ac_id", "all_circs")
 
 
 @query
 def semi_title_holds(j):
-    titles = j.hold_items().select("root", F.col("biblio_id").alias("target")).distinct()
+    titles = j.hold_items(RUN_DATE).select("root", F.col("biblio_id").alias("target")).distinct()
     return j.open_holds().filter("hold_type = 'T'").join(titles, ["root", "target"], "left_semi").select(
         "root", "id", "target"
     )
@@ -459,7 +336,7 @@ def join_copy_circ_org(j):
 
 @query
 def join_holds_resolve(j):
-    resolved = holds.resolve_targets(j.open_holds(), j.resolver(), j.t.metarecord_source_map)
+    resolved = holds.resolve_targets(j.open_holds(), j.resolver(RUN_DATE), j.t.metarecord_source_map)
     return resolved.select("root", "id", "hold_type", "target", "biblio_id", "holds_branch")
 
 
@@ -471,7 +348,7 @@ def lending_multi_left(j):
 @query
 def join_org_type(j):
     units = orgs.volume_owning(j.t.org_unit, j.t.org_unit_type).select(F.col("id").alias("org_id"), "shortname")
-    return orgs.org_descendants(j.t.org_unit, BRANCH_ROOTS, match_case=True).join(units, "org_id").select("root", "shortname")
+    return orgs.org_descendants(j.t.org_unit, SETTINGS.branch_roots, match_case=True).join(units, "org_id").select("root", "shortname")
 
 
 @query
@@ -500,32 +377,32 @@ def lookup_hold_copy_ratio(j):
 # ---- aggregations -----------------------------------------------------------
 @query
 def agg_circs_all(j):
-    return j.circ_stats().select("ac_id", "all_circs")
+    return j.circ_stats(RUN_DATE, RUN_DATE).select("ac_id", "all_circs")
 
 
 @query
 def agg_circs_monthly(j):
-    return j.circ_stats().select("ac_id", "monthly_circs")
+    return j.circ_stats(RUN_DATE, RUN_DATE).select("ac_id", "monthly_circs")
 
 
 @query
 def agg_circs_annual(j):
-    return j.circ_stats().select("ac_id", "annual_circs")
+    return j.circ_stats(RUN_DATE, RUN_DATE).select("ac_id", "annual_circs")
 
 
 @query
 def agg_last_checkin(j):
-    return j.circ_stats().select("ac_id", "last_checkin")
+    return j.circ_stats(RUN_DATE, RUN_DATE).select("ac_id", "last_checkin")
 
 
 @query
 def agg_last_due(j):
-    return j.circ_stats().select("ac_id", "last_due")
+    return j.circ_stats(RUN_DATE, RUN_DATE).select("ac_id", "last_due")
 
 
 @query
 def agg_last_circ(j):
-    return j.circ_stats().select("ac_id", "last_circ")
+    return j.circ_stats(RUN_DATE, RUN_DATE).select("ac_id", "last_circ")
 
 
 @query
@@ -560,7 +437,7 @@ def agg_holds_count(j):
 
 @query
 def koha_agg_holds(j):
-    return koha.hold_counts(koha.open_holds(j.t.koha_reserves, RUN_DATE))
+    return j.koha_hold_counts()
 
 
 @query
@@ -704,7 +581,7 @@ def transactions_union(j):
 
 @query
 def transactions_alltime(j):
-    return _transaction_rows(j.transactions(None, every_copy_deleted=True))
+    return _transaction_rows(j.transactions(historical=True))
 
 
 def _koha_transaction_rows(df):
@@ -715,13 +592,12 @@ def _koha_transaction_rows(df):
 
 @query
 def koha_transactions(j):
-    return _koha_transaction_rows(koha.transactions(j.t.koha_items, j.t.koha_issues, RUN_DATE))
+    return _koha_transaction_rows(j.koha_transactions())
 
 
 @query
 def koha_transactions_alltime(j):
-    both = j.t.koha_issues.unionByName(j.t.koha_old_issues)
-    return _koha_transaction_rows(koha.transactions(j.t.koha_items, both, None))
+    return _koha_transaction_rows(j.koha_transactions(historical=True))
 
 
 @query
@@ -1081,11 +957,11 @@ REPORT_PARAMETERS: dict[str, tuple] = {
 }
 
 
-def _report_query(key: str) -> Callable[[Jobs], DataFrame]:
-    def build(j: Jobs) -> DataFrame:
+def _report_query(key: str) -> Callable[[LibraryJobs], DataFrame]:
+    def build(j: LibraryJobs) -> DataFrame:
         units = j.t.org_unit.select("id")
         params = [units if p is ALL_UNITS else p for p in REPORT_PARAMETERS[key]]
-        return run_report(REPORTS[key], j.report_table, params)
+        return j.report(REPORTS[key], params)
 
     return build
 
@@ -1104,6 +980,6 @@ def plain_types(df: DataFrame) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(function):
-        return lambda spark, folder: plain_types(function(Jobs(spark, folder)))
+        return lambda spark, folder: plain_types(function(jobs(spark, folder)))
 
     return {name: bind(function) for name, function in QUERIES.items()}
