@@ -9,13 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-MARC_SCHEMA = (
-    "datafield array<struct<_tag: string, subfield: array<struct<_VALUE: string, _code: string>>>>, "
-    "_corrupt_record string"
-)
+MARC_SCHEMA = "datafield array<struct<_tag: string, subfield: array<struct<_VALUE: string, _code: string>>>>"
 _PARSE_OPTIONS = {
     "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": "_corrupt_record",
     "ignoreNamespace": "true",
     "attributePrefix": "_",
     "valueTag": "_VALUE",
@@ -24,8 +20,7 @@ _PARSE_OPTIONS = {
 
 def parse_marc(marc: Column) -> Column:
     """Array of data fields of a record; NULL for NULL or malformed XML."""
-    parsed = F.from_xml(marc, MARC_SCHEMA, _PARSE_OPTIONS)
-    return F.when(parsed["_corrupt_record"].isNull(), parsed["datafield"])
+    return F.from_xml(marc, MARC_SCHEMA, _PARSE_OPTIONS)["datafield"]
 
 
 def _subfield_values(field: Column, code: str) -> Column:
