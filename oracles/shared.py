@@ -187,8 +187,8 @@ EXTRA: dict[str, str] = {
     "hold_counts": """
         SELECT root, biblio_id, hold_type, holds_branch, count(*) AS hold_count FROM {resolved_open} GROUP BY ALL""",
     "held_metarecords": """
-        SELECT DISTINCT metarecord, source AS biblio_id FROM {metarecord_source_map}
-        WHERE metarecord IN (SELECT target FROM {resolved_open} WHERE hold_type = 'M')""",
+        SELECT DISTINCT h.root, m.metarecord, m.source AS biblio_id FROM {metarecord_source_map} m
+        JOIN {resolved_open} h ON h.hold_type = 'M' AND h.target = m.metarecord""",
     "transactions": f"""
         SELECT t.root, t.id AS ac_id, t.barcode, n.record AS biblio_id, e.kind AS transaction_type,
                CAST(e.at AS DATE) AS transaction_day, o.shortname AS transaction_branch, CAST(e.due AS DATE) AS due_day

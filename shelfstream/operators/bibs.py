@@ -12,6 +12,11 @@ BIB_COLUMNS = (
 )
 
 
+BIB_TABLE_SCHEMA = "root string, " + ", ".join(
+    f"{c} {t}" for c, t in zip(BIB_COLUMNS, ["bigint", *["string"] * 8, "timestamp_ntz"])
+)
+
+
 def distinct_bibs(copies: DataFrame, call_number: DataFrame) -> DataFrame:
     """(root, biblio_id) of titles with a circulating copy in scope."""
     titles = call_number.select(F.col("id").alias("call_number"), F.col("record").alias("biblio_id"))
@@ -71,9 +76,15 @@ def without_deleted(bibs: DataFrame, record_entry: DataFrame) -> DataFrame:
     return bibs.join(gone, "biblio_id", "left_anti")
 
 
+def bib_keys(bibs: DataFrame) -> list[str]:
+    """A table that serves several exported roots is keyed by root and title."""
+    return ["root", "biblio_id"] if "root" in bibs.columns else ["biblio_id"]
+
+
 def missing_bibs(active: DataFrame, bibs: DataFrame) -> DataFrame:
     """Active titles the extract does not hold yet."""
-    return active.select("biblio_id").distinct().join(bibs.select("biblio_id"), "biblio_id", "left_anti")
+    keys = bib_keys(bibs)
+    return active.select(*keys).distinct().join(bibs.select(*keys), keys, "left_anti")
 
 
 def mark_stale(bibs: DataFrame, record_entry: DataFrame) -> DataFrame:
@@ -91,7 +102,7 @@ def refresh_list(bibs: DataFrame, active: DataFrame, record_entry: DataFrame) ->
     """(kept, pending): rows that stay as they are, and ids whose columns must be rebuilt."""
     marked = mark_stale(without_deleted(bibs, record_entry), record_entry)
     kept = marked.filter("last_update IS NOT NULL")
-    stale = marked.filter("last_update IS NULL").select("biblio_id")
+    stale = marked.filter("last_update IS NULL").select(*bib_keys(bibs))
     return kept, stale.unionByName(missing_bibs(active, without_deleted(bibs, record_entry)))
 
 
@@ -115,7 +126,7 @@ def upsert_bibs(
     readers over: the input table stays readable while the job runs.
     """
     kept, pending = refresh_list(bibs, active, record_entry)
-    wanted = pending.withColumnRenamed("biblio_id", "id")
+    wanted = pending.select(F.col("biblio_id").alias("id")).distinct()
     rebuilt = bib_fields(
         record_entry.join(wanted, "id", "left_semi"),
         simple_record.join(wanted, "id", "left_semi"),
@@ -124,4 +135,5 @@ def upsert_bibs(
     stamped = pending.join(rebuilt, "biblio_id", "left").withColumn(
         "last_update", F.lit(refreshed_at).cast("timestamp_ntz")
     )
-    return kept.select(*BIB_COLUMNS).unionByName(stamped.select(*BIB_COLUMNS))
+    columns = [*bib_keys(bibs), *BIB_COLUMNS[1:]]
+    return kept.select(*columns).unionByName(stamped.select(*columns))

@@ -106,11 +106,11 @@ def hold_counts(folded: DataFrame, resolver: DataFrame, metarecord_source_map: D
 
 
 def held_metarecords(folded: DataFrame, resolver: DataFrame, metarecord_source_map: DataFrame) -> DataFrame:
-    """Source titles of every metarecord that has a resolved hold."""
+    """Source titles of every metarecord that has a resolved hold, per exported root."""
     held = (
         resolve_targets(folded.filter("hold_type = 'M'"), resolver, metarecord_source_map)
-        .select(F.col("target").alias("metarecord"))
+        .select("root", F.col("target").alias("metarecord"))
+        .distinct()
     )
-    return metarecord_source_map.join(held, "metarecord", "left_semi").select(
-        "metarecord", F.col("source").alias("biblio_id")
-    ).distinct()
+    sources = metarecord_source_map.select("metarecord", F.col("source").alias("biblio_id")).distinct()
+    return held.join(sources, "metarecord").select("root", "metarecord", "biblio_id")

@@ -201,15 +201,43 @@ class LibraryJobs:
     def _write(self, outputs: dict[str, tuple[DataFrame, CsvLayout]], path: str, run_log: str | None) -> dict[str, int]:
         written = {}
         for name, (rows, layout) in outputs.items():
-            written[name] = sinks.write_csv(rows, layout, f"{path}/{name}")
+            write = sinks.write_csv_per_root if "root" in rows.columns else sinks.write_csv
+            written[name] = write(rows, layout, f"{path}/{name}")
             if run_log:
                 sinks.append_run_log(self.spark, run_log, self.s.run_date, f"{name} file generated", written[name])
         return written
 
+    def refresh_bib_table(self, previous: str | None, target: str) -> DataFrame:
+        """Write the next state of the per-root title table to ``target`` and return it.
+
+        ``previous`` is the path of the last state, ``None`` on the first run;
+        it is only read, so a failed run can simply be repeated.
+        """
+        if previous is None:
+            state = self.spark.createDataFrame([], bibs.BIB_TABLE_SCHEMA)
+        else:
+            state = self.spark.read.schema(bibs.BIB_TABLE_SCHEMA).parquet(previous)
+        t = self.t
+        bibs.upsert_bibs(
+            state, self.distinct_bibs(), t.record_entry, t.simple_record, t.record_attr_flat, f"{self.s.run_date} 00:00:00"
+        ).write.parquet(target)
+        return self.spark.read.schema(bibs.BIB_TABLE_SCHEMA).parquet(target)
+
     def write_vendor_files(
-        self, path: str, files: Sequence[str] = FILES, historical: bool = False, run_log: str | None = None
+        self,
+        path: str,
+        files: Sequence[str] = FILES,
+        historical: bool = False,
+        run_log: str | None = None,
+        bib_table: tuple[str | None, str] | None = None,
     ) -> dict[str, int]:
-        """Vendor files of the scoped units; returns the row count of each."""
+        """Vendor files, one folder per scoped root; returns the row count of each.
+
+        The ``bib`` file needs ``bib_table``: the paths of the title table's
+        previous state (or ``None``) and of its next one.
+        """
+        if "bib" in files and bib_table is None:
+            raise ValueError("the bib file needs bib_table=(previous, target)")
         makers = {
             "item": lambda: {"items": (self.items_file(historical), sinks.ITEMS)},
             "order": lambda: {"orders": (self.order_counts(), sinks.ORDERS)},
@@ -218,7 +246,7 @@ class LibraryJobs:
                 "holds": (self.hold_counts(historical), sinks.HOLDS_ALLTIME if historical else sinks.HOLDS),
                 "metarecords": (self.metarecords(historical), sinks.METARECORDS),
             },
-            "bib": lambda: {"bibs": (self.upsert(), sinks.BIBS)},
+            "bib": lambda: {"bibs": (self.refresh_bib_table(*bib_table), sinks.BIBS)},
         }
         outputs = {}
         for name in files:

@@ -107,11 +107,17 @@ def write_csv(rows: DataFrame, layout: CsvLayout, path: str, line_separator: str
     return observed.get["rows"]
 
 
-def write_csv_per_root(rows: DataFrame, layout: CsvLayout, path: str) -> None:
-    """One folder per exported root unit from a single pass; the header goes to its own file."""
+def write_csv_per_root(rows: DataFrame, layout: CsvLayout, path: str) -> int:
+    """One ``root=…`` folder per exported root unit from a single pass.
+
+    The header goes to its own folder, to be put ahead of each root's parts.
+    """
     spark = rows.sparkSession
+    observed = Observation()
+    lines = csv_lines(rows, layout, keep=("root",)).observe(observed, F.count(F.lit(1)).alias("rows"))
     write_lines(spark.range(1).select(F.lit(layout.header).alias("line")), f"{path}/header")
-    csv_lines(rows, layout, keep=("root",)).write.partitionBy("root").text(f"{path}/rows")
+    lines.write.partitionBy("root").text(f"{path}/rows")
+    return observed.get["rows"]
 
 
 def write_dat(bib_rows: DataFrame, item_rows: DataFrame, library: str, extract_date: str, path: str) -> tuple[int, int]:

@@ -147,10 +147,17 @@ def read_parts(path, opener=open):
 def test_vendor_files_and_run_log(spark, folder, tmp_path):
     j = jobs(spark, folder)
     log = str(tmp_path / "log")
-    written = j.write_vendor_files(str(tmp_path / "out"), files=("item", "hold"), run_log=log)
-    lines = read_parts(tmp_path / "out" / "items").splitlines()
-    assert lines[0] == sinks.ITEMS.header and len(lines) == written["items"] + 1
-    assert read_parts(tmp_path / "out" / "holds").startswith("biblio_id,hold_count,holds_branch\n")
+    states = [str(tmp_path / name) for name in ("bibs-1", "bibs-2")]
+    written = j.write_vendor_files(str(tmp_path / "out"), ("item", "bib"), run_log=log, bib_table=(None, states[0]))
+    assert read_parts(tmp_path / "out" / "items" / "header") == sinks.ITEMS.header + "\n"
+    for root in ("ASIA", "NATION_8"):
+        assert glob.glob(str(tmp_path / "out" / "*" / "rows" / f"root={root}"))
+    lines = "".join(read_parts(p) for p in glob.glob(str(tmp_path / "out" / "items" / "rows" / "*"))).splitlines()
+    assert len(lines) == written["items"]
+    again = j.refresh_bib_table(*states)
+    first = spark.read.parquet(states[0])
+    assert sorted(map(str, again.collect())) == sorted(map(str, first.select(*again.columns).collect()))
+    assert first.count() == written["bibs"] == j.distinct_bibs().count()
     logged = {r.event: r.rows for r in spark.read.parquet(log).collect()}
     assert logged == {f"{name} file generated": count for name, count in written.items()}
 
