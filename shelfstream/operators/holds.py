@@ -34,7 +34,7 @@ def target_resolver(items: DataFrame, copy_part_map: DataFrame, metarecord_sourc
     """(root, kind, key, biblio_id): one title per resolvable target.
 
     Several candidate titles resolve to the lowest id.  Metarecords do not
-    depend on the scope and carry a NULL root.
+    depend on the scope and carry an empty root.
     """
     known = items.filter("biblio_id IS NOT NULL")
 
@@ -48,7 +48,7 @@ def target_resolver(items: DataFrame, copy_part_map: DataFrame, metarecord_sourc
         .filter("key IS NOT NULL")
     )
     sources = metarecord_source_map.select(
-        F.lit(None).cast("string").alias("root"),
+        F.lit("").alias("root"),
         F.lit("metarecord").alias("kind"),
         F.col("metarecord").alias("key"),
         F.col("source").alias("biblio_id"),
@@ -74,18 +74,20 @@ def resolve_targets(holds: DataFrame, resolver: DataFrame, metarecord_source_map
         F.col("target")
     )
     typed = holds.withColumn("kind", kind).withColumn("key", key)
-    typed = typed.withColumn("scope_root", F.when(F.col("kind") != "metarecord", F.col("root")))
-    titles = resolver.select(F.col("root").alias("scope_root"), "kind", "key", "biblio_id")
-    resolved = typed.alias("h").join(
-        titles.alias("t"),
-        F.col("h.scope_root").eqNullSafe(F.col("t.scope_root"))
-        & (F.col("h.kind") == F.col("t.kind"))
-        & (F.col("h.key") == F.col("t.key")),
-    ).select("h.*", "t.biblio_id").drop("kind", "key", "scope_root")
-    metarecords = metarecord_source_map.select(F.col("metarecord").alias("target")).distinct()
-    plain = resolved.filter("hold_type <> 'M'")
-    grouped = resolved.filter("hold_type = 'M'").join(metarecords, "target", "left_semi")
-    return plain.unionByName(grouped)
+    typed = typed.withColumn("scope_root", F.when(F.col("kind") != "metarecord", F.col("root")).otherwise(""))
+    titles = resolver.withColumnRenamed("root", "scope_root")
+    resolved = typed.join(titles, ["scope_root", "kind", "key"]).drop("kind", "key", "scope_root")
+    # One pass for all types: only metarecord holds can meet a row of the right side,
+    # and the others spread by their own target.
+    known = metarecord_source_map.select(
+        F.lit(True).alias("_grouped"), F.col("metarecord").alias("target"), F.lit(True).alias("_known")
+    ).distinct()
+    return (
+        resolved.withColumn("_grouped", F.col("hold_type") == "M")
+        .join(known, ["_grouped", "target"], "left")
+        .filter(~F.col("_grouped") | F.col("_known"))
+        .drop("_grouped", "_known")
+    )
 
 
 def fold_holds(holds: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfstream.session import materialize
 from shelfstream.sources.tables import BASE_SCHEMAS, read_parquet_table
 
 RUN_DATE = "1998-07-01"
@@ -485,6 +486,15 @@ TABLES: dict[str, str] = {
 }
 
 
+# Small tables that are distinct values of large ones.  They are written once per
+# run, as the dimension tables they stand for would be: Catalyst then knows their
+# size and does not shuffle the facts for them.
+DIMENSIONS = {
+    "copy_location", "copy_status", "circ_modifier", "grp_tree", "org_unit_type", "event_definition", "item_type_map",
+    "service_config",
+}
+
+
 def render(name: str, timestamp_type: str, array_function: str) -> str:
     text = TABLES[name].replace("[TS]", timestamp_type).replace("[ARRAY]", array_function)
     return text
@@ -507,7 +517,8 @@ class Testbed:
             if name in TABLES:
                 text = render(name, "TIMESTAMP_NTZ", "array").replace('"timestamp"', "`timestamp`")
                 inputs = {ref: self.table(ref) for ref in references(name)}
-                self._tables[name] = self.spark.sql(text, **inputs)
+                table = self.spark.sql(text, **inputs)
+                self._tables[name] = materialize(table, name) if name in DIMENSIONS else table
             else:
                 self._tables[name] = read_parquet_table(self.spark, self.folder, name)
         return self._tables[name]
