@@ -128,9 +128,9 @@ def subjects(tag: str) -> str:
 
 
 EXTRA: dict[str, str] = {
-    "scope": walk("lower(shortname) IN ('asia', 'nation_8')"),
-    "one_scope": walk("shortname = 'ASIA'"),
-    "branch_scope": walk("shortname IN ('ASIA', 'NATION_8')"),
+    "scope": walk("lower(shortname) IN ('cons', 'nation_8')"),
+    "one_scope": walk("shortname = 'CONS'"),
+    "branch_scope": walk("shortname IN ('CONS', 'NATION_8')"),
     "active": eligible(f"CAST(c.create_date AS DATE) < {D}", "NOT c.deleted"),
     "active_all": eligible("TRUE", "NOT c.deleted"),
     "trans": eligible(f"CAST(c.create_date AS DATE) < {D}", "TRUE"),

@@ -307,7 +307,7 @@ _CIRCULATION_REPORTS = (
             left("aws2", "circ2.workstation"), left("aou", "aws2.owning_lib")),
            (Out("month", "circ.xact_start", part="month_trunc"), *_DESK_COLUMNS, Out("circulation_type", "rcirct.type"),
             Out("circulations", "circ.id", agg="count_distinct")),
-           (_CHECKED_OUT_MONTHS, isin("aou.id"))),
+           (_CHECKED_OUT_MONTHS, isin("aou.id")), unique_counts=True),
     Report("rpt_checkout_statistics", "Checkout Statistics", CIRCULATION, "circ", _DESK,
            (Out("month", "circ.xact_start", part="month_trunc"), *_DESK_COLUMNS, count("circulation_count", "circ.id")),
            (_CHECKED_OUT_MONTHS, isin("aws.owning_lib"))),
@@ -322,7 +322,7 @@ _CIRCULATION_REPORTS = (
            (Out("workstation_library", "aou.name"), Out("street_1", "aua.street1"), Out("street_2", "aua.street2"),
             Out("city", "aua.city"), Out("state", "aua.state"), Out("postal_code", "aua.post_code"),
             Out("circ_total", "circ.id", agg="count_distinct")),
-           (days("circ.xact_start"), isin("aws.owning_lib"))),
+           (days("circ.xact_start"), isin("aws.owning_lib")), distinct_leaves=("aua",), unique_counts=True),
     Report("rpt_placed_holds_by_patron_group_and_requesting_library",
            "Placed Holds by Patron Group and Requesting Library", CIRCULATION, "ahr",
            (inner("au", "ahr.requestor"), inner("pgt", "au.profile"), inner("aou", "ahr.request_lib")),

@@ -6,7 +6,7 @@ When a report has an aggregate, its other columns are the grouping keys.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -58,6 +58,11 @@ class Report:
     filters: tuple[Where, ...]
     # Leaf tables whose rows are counted (or reduced to a maximum) per join key before they are joined.
     fold_leaves: tuple[str, ...] = ()
+    # Leaf tables reduced to their distinct rows before they are joined.
+    distinct_leaves: tuple[str, ...] = ()
+    # Every other join is a look-up by primary key, so no row meets an output group
+    # twice and counting distinct primary keys is plain counting.
+    unique_counts: bool = False
 
     @property
     def aggregates(self) -> tuple[Out, ...]:
@@ -114,7 +119,8 @@ def _apply(df: DataFrame, where: Where, value: Any) -> DataFrame:
 
 def _core_folds(report: Report) -> bool:
     """Core rows may be counted before the joins unless a join needs their unique id."""
-    if not report.aggregates or any(a.agg not in ("count", "sum") for a in report.aggregates):
+    foldable = ("count", "sum", "count_distinct") if report.unique_counts else ("count", "sum")
+    if not report.aggregates or any(a.agg not in foldable for a in report.aggregates):
         return False
     if any(_split(a.source)[0] != report.core and _split(a.source)[0] not in report.fold_leaves for a in report.aggregates):
         return False
@@ -176,6 +182,8 @@ def run_report(
                 for o in aggregated.get(alias, ()) if o.agg in partial
             ]
             return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(f"_n_{alias}"), *values)
+        if alias in report.distinct_leaves:
+            return df.select(*columns).distinct()
         extra = [
             F.col(_split(o.source)[1]).alias(f"_agg_{o.name}") for o in aggregated.get(alias, ())
         ]
@@ -199,7 +207,10 @@ def run_report(
 
     keys = [output(c) for c in report.columns if not c.agg]
     if report.aggregates:
-        result = result.groupBy(*keys).agg(*[_aggregate(a, folded) for a in report.aggregates])
+        aggregates = report.aggregates
+        if report.unique_counts:
+            aggregates = tuple(replace(a, agg="count") if a.agg == "count_distinct" else a for a in aggregates)
+        result = result.groupBy(*keys).agg(*[_aggregate(a, folded) for a in aggregates])
         result = result.select(*[c.name for c in report.columns])
     else:
         result = result.select(*keys)

@@ -304,7 +304,7 @@ TABLES: dict[str, str] = {
                  || CASE WHEN n_chars % 5 = 2 THEN '<datafield tag="655"><subfield code="a">Genre '
                       || source || '</subfield></datafield>' ELSE '' END
                  || '</record>' END AS marc,
-               n_chars % 23 <> 0 AS active, n_chars % 17 = 0 AS deleted,
+               n_chars % 5 <> 0 AS active, n_chars % 17 = 0 AS deleted,
                CAST(DATE '1998-01-01' + CAST(doc_id % 365 AS INT) AS [TS]) AS edit_date
         FROM {documents}
     """,

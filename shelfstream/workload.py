@@ -26,11 +26,11 @@ TRACE_SEARCH = "8f14e45fceea167a5a36dedd4bea2543"
 
 SETTINGS = Settings(
     run_date=RUN_DATE,
-    scope_roots=("asia", "nation_8"),
+    scope_roots=("cons", "nation_8"),
     excluded_modifiers=("ECONOMY", "PROMO"),
-    branch_roots=("ASIA", "NATION_8"),
+    branch_roots=("CONS", "NATION_8"),
     lending_date="1999-07-01",
-    collection_root="ASIA",
+    collection_root="CONS",
 )
 
 

@@ -150,7 +150,7 @@ def test_vendor_files_and_run_log(spark, folder, tmp_path):
     states = [str(tmp_path / name) for name in ("bibs-1", "bibs-2")]
     written = j.write_vendor_files(str(tmp_path / "out"), ("item", "bib"), run_log=log, bib_table=(None, states[0]))
     assert read_parts(tmp_path / "out" / "items" / "header") == sinks.ITEMS.header + "\n"
-    for root in ("ASIA", "NATION_8"):
+    for root in ("CONS", "NATION_8"):
         assert glob.glob(str(tmp_path / "out" / "*" / "rows" / f"root={root}"))
     lines = "".join(read_parts(p) for p in glob.glob(str(tmp_path / "out" / "items" / "rows" / "*"))).splitlines()
     assert len(lines) == written["items"]
@@ -181,4 +181,4 @@ def test_rows_per_root_in_one_pass(spark, folder, tmp_path):
     j = jobs(spark, folder)
     sinks.write_csv_per_root(j.order_counts(), sinks.ORDERS, str(tmp_path / "orders"))
     roots = {p.rsplit("=", 1)[1] for p in glob.glob(str(tmp_path / "orders" / "rows" / "root=*"))}
-    assert "ASIA" in roots
+    assert "CONS" in roots

@@ -56,6 +56,19 @@ def test_counting_before_the_joins_changes_nothing(rows, how, monkeypatch):
     assert folded == plain and len(folded) == (3 if how == "inner" else 4)
 
 
+def test_distinct_counts_by_primary_key(rows, monkeypatch):
+    tables = {
+        "circulation": rows("id string, usr bigint", ("a", 5), ("b", 5), ("c", 6), ("d", None)),
+        "usr_address": rows("usr bigint, city string", (5, "X"), (5, "X"), (5, "Y"), (7, "Z")),
+    }.__getitem__
+    shape = ("k", "t", "f", "circ", (Join("aua", "circ.usr", "usr"),),
+             (Out("city", "aua.city"), Out("n", "circ.id", agg="count_distinct")), ())
+    folded = run_report(Report(*shape, distinct_leaves=("aua",), unique_counts=True), tables, [])
+    plain = run_report(Report(*shape), tables, [])
+    assert sorted(map(str, folded.collect())) == sorted(map(str, plain.collect()))
+    assert {(r.city, r.n) for r in folded.collect()} == {("X", 2), ("Y", 2), (None, 2)}
+
+
 def test_ordered_output_and_parameter_check(rows):
     out = run_report(sample(), tiny(rows), [(date(2020, 1, 1), date(2020, 12, 31))], ordered=True).collect()
     assert [r.month for r in out] == sorted(r.month for r in out)
