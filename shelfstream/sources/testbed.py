@@ -21,9 +21,10 @@ RUN_DATE = "1998-07-01"
 
 _LIB = "1000 + CAST(floor(p_partkey / (20 * (1 + p_partkey % 4))) AS BIGINT)"
 _BRAND = "TRY_CAST(replace(p_brand, 'Brand#', '') AS BIGINT)"
+# Unique loan id: order, line, part and the price in cents.
 _LINE_ID = (
     "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || "
-    "CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING)"
+    "CAST(l_partkey AS STRING) || '-' || CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS STRING)"
 )
 _CLOCK = (
     "CAST(CAST(ts AS DATE) AS STRING) || ' ' || lpad(CAST(hour(ts) AS STRING), 2, '0') || ':' || "

@@ -182,3 +182,16 @@ def test_rows_per_root_in_one_pass(spark, folder, tmp_path):
     sinks.write_csv_per_root(j.order_counts(), sinks.ORDERS, str(tmp_path / "orders"))
     roots = {p.rsplit("=", 1)[1] for p in glob.glob(str(tmp_path / "orders" / "rows" / "root=*"))}
     assert "CONS" in roots
+
+
+def test_second_system_files(spark, folder, tmp_path):
+    written = jobs(spark, folder).write_koha_files(str(tmp_path))
+    assert set(written) == {"items", "orders", "circs", "holds", "bibs"}
+    assert read_parts(tmp_path / "items").splitlines()[0] == sinks.KOHA_ITEMS.header
+    assert len(read_parts(tmp_path / "bibs").splitlines()) == written["bibs"] + 1
+
+
+def test_historical_vendor_files_take_all_times(spark, folder, tmp_path):
+    j = jobs(spark, folder)
+    written = j.write_vendor_files(str(tmp_path), ("circ",), historical=True)
+    assert written["circs"] > j.transactions().count()
