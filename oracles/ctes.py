@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from shelfstream.sources.testbed import TABLES, references, render
+from shelfstream.sources.testbed import TABLES, render
 
 
 def with_tables(query: str, extra: dict[str, str] | None = None) -> str:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracles.shared import (
-    D, EXTRA, csv, hashed, isbn13, isbn_token, line, marc_any, marc_first, naco, open_test, price, raw, subjects, year,
+    D, csv, hashed, isbn13, line, marc_any, marc_first, naco, price, raw, subjects, year,
 )
 
 ITEM_HEADER = (
@@ -42,6 +42,15 @@ BIB_ROW = line(
 COUNTS = "loans, renewals, holds, copies, copies_out, copies_on_order"
 
 
+def windowed_with_server(mark: str, minutes: int, warn: int, crit: int) -> str:
+    bucket = f"time_bucket(INTERVAL {minutes} MINUTE, ts, TIMESTAMP '1970-01-01')"
+    return f"""
+        SELECT c.window_start, c.n, c.severity, s.server AS top_server FROM ({windowed(mark, minutes, warn, crit)}) c
+        JOIN (SELECT {bucket} AS window_start, split_part(line, ' ', 3) AS server, count(*) AS k FROM {{app_log}}
+              WHERE contains(line, '{mark}') GROUP BY 1, 2
+              QUALIFY row_number() OVER (PARTITION BY {bucket} ORDER BY k DESC, server) = 1) s USING (window_start)"""
+
+
 def windowed(mark: str, minutes: int, warn: int, crit: int) -> str:
     return f"""
         SELECT time_bucket(INTERVAL {minutes} MINUTE, ts, TIMESTAMP '1970-01-01') AS window_start, count(*) AS n,
@@ -348,8 +357,12 @@ ORACLES: dict[str, str] = {
         SELECT * FROM ({windowed("Returning NULL", 60, 2, 4)})
         WHERE window_start + INTERVAL 1 HOUR <= (SELECT date_trunc('second', max(ts)) - INTERVAL 1 HOUR FROM {{app_log}}
                                                  WHERE contains(line, 'Returning NULL'))""",
-    "window_count_alert": windowed("Returning NULL", 15, 2, 4),
-    "hour_count_alert": windowed("IS NOT CONNECTED TO THE NETWORK", 60, 3, 6),
+    "window_count_alert": windowed_with_server("Returning NULL", 15, 2, 4),
+    "hour_count_alert": windowed_with_server("IS NOT CONNECTED TO THE NETWORK", 60, 3, 6),
+    "recent_count_alert": """
+        SELECT count(*) AS n, CASE WHEN count(*) >= 40 THEN 2 WHEN count(*) >= 20 THEN 1 ELSE 0 END AS severity
+        FROM {app_log} WHERE contains(line, 'Returning NULL')
+        AND ts BETWEEN TIMESTAMP '2024-01-14 12:30:00' AND TIMESTAMP '2024-01-15 12:30:45'""",
     "failed_trigger_events": """
         SELECT count(name) AS failures, coalesce(string_agg(DISTINCT name, ',' ORDER BY name), '') AS names,
                CASE WHEN count(name) > 0 THEN 2 ELSE 0 END AS severity

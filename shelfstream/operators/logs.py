@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfstream.functions.dates import epoch_seconds, hour_trunc
+from shelfstream.functions.dates import epoch_seconds, from_epoch_seconds, hour_trunc
 from shelfstream.functions.thresholds import classify
 from shelfstream.session import materialize, materialize_counted
 
@@ -160,12 +160,33 @@ def ram_shares(samples: DataFrame, strict_reference: bool = False) -> DataFrame:
 
 
 def window_count_alert(lines: DataFrame, mark: str, minutes: int, warn: int, crit: int) -> DataFrame:
-    """Marked lines per tumbling window with the alert level."""
-    return (
+    """Marked lines per tumbling window with the alert level and the busiest server.
+
+    Lines are counted per window and server first; equal counts go to the lowest name.
+    """
+    per_server = (
         lines.filter(F.col("line").contains(mark))
-        .groupBy(F.window("ts", f"{minutes} minutes").alias("w"))
+        .groupBy(F.window("ts", f"{minutes} minutes").alias("w"), log_server(F.col("line")).alias("server"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return (
+        per_server.groupBy("w")
+        .agg(F.sum("n").alias("n"), F.min_by("server", F.struct((-F.col("n")).alias("k"), "server")).alias("top_server"))
+        .select(
+            F.col("w.start").alias("window_start"), "n", classify(F.col("n"), warn, crit, inclusive=True).alias("severity"),
+            "top_server",
+        )
+    )
+
+
+def recent_count_alert(lines: DataFrame, mark: str, now: str, minutes: int, warn: int, crit: int) -> DataFrame:
+    """Marked lines of the past minutes, the minute of ``now`` included, with the alert level."""
+    moment = F.lit(now).cast("timestamp_ntz")
+    first = from_epoch_seconds(F.floor(epoch_seconds(moment) / 60) * 60 - minutes * 60)
+    return (
+        lines.filter(F.col("line").contains(mark) & (F.col("ts") >= first) & (F.col("ts") <= moment))
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("w.start").alias("window_start"), "n", classify(F.col("n"), warn, crit, inclusive=True).alias("severity"))
+        .select("n", classify(F.col("n"), warn, crit, inclusive=True).alias("severity"))
     )
 
 

@@ -812,6 +812,11 @@ def window_count_alert(j):
     return logs.window_count_alert(j.t.app_log, "Returning NULL", 15, 2, 4)
 
 
+@query
+def recent_count_alert(j):
+    return logs.recent_count_alert(j.t.app_log, "Returning NULL", "2024-01-15 12:30:45", 1440, 20, 40)
+
+
 @query
 def hour_count_alert(j):
     return logs.window_count_alert(j.t.app_log, "IS NOT CONNECTED TO THE NETWORK", 60, 3, 6)

@@ -161,3 +161,19 @@ def test_non_mailing_address_comes_first(rows):
               (3, 4, "MAILING", "a", None, "c", "s", "M2"), (4, 4, "PHYSICAL", "p", "q", "c", "s", None))
     got = {r.org_unit: (r.post_code, r.address) for r in orgs.first_address(df).collect()}
     assert got == {3: ("P1", "p q;c;s"), 4: ("M2", None)}
+
+
+def test_day_filters_and_columns_reach_the_parquet_scan(spark, rows, tmp_path):
+    lib = library(rows)
+    rows(COPY, copy(1), copy(2)).write.parquet(str(tmp_path / "copy"))
+    rows(CIRC, loan("a", "2020-03-30 12:00:00")).write.parquet(str(tmp_path / "circ"))
+    held = copies.circulating_copies(spark.read.parquet(str(tmp_path / "copy")), lib["location"], lib["scope"], None, D)
+    events = transactions.loan_events(spark.read.parquet(str(tmp_path / "circ")), D)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    copy_plan = held.select("id")._jdf.queryExecution().executedPlan().toString()
+    loan_plan = events.select("ac_id")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "LessThan(create_date" in copy_plan and "EqualTo(circulate,true)" in copy_plan
+    assert "barcode" not in copy_plan
+    assert "GreaterThan(xact_start" in loan_plan and "LessThan(checkin_time" in loan_plan
+    assert held.count() == 2 and events.count() == 1
