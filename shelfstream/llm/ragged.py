@@ -54,7 +54,7 @@ class RaggedCache:
         ends = np.cumsum(lengths)
         if not len(ends):
             return np.empty(0, np.int32), lengths
-        gather = np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
+        gather = np.arange(ends[-1], dtype=np.int32) + np.repeat((starts - (ends - lengths)).astype(np.int32), lengths)
         return self._flat[gather], lengths
 
     def encode_lists(self, words: pa.ListArray) -> list[np.ndarray]:
@@ -65,7 +65,7 @@ class RaggedCache:
         return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
-def in_blocks(texts: pa.Array, size: int = 1 << 20) -> Iterator[pa.Array]:
+def in_blocks(texts: pa.Array, size: int = 4 << 20) -> Iterator[pa.Array]:
     """Slices of about ``size`` bytes, one text at least."""
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     at = 0

@@ -55,7 +55,7 @@ class WaveletMatrix:
         for bit in range(max(len(alphabet) - 1, 0).bit_length() - 1, -1, -1):
             ones = (current & current.dtype.type(1 << bit)).astype(bool)
             planes.append(np.packbits(ones, bitorder="little").tobytes())
-            current = np.concatenate((current[~ones], current[ones]))
+            current = np.concatenate((current[np.logical_not(ones)], current[ones]))
         return cls(len(ids), alphabet, planes)
 
     def to_ids(self) -> np.ndarray:
@@ -209,7 +209,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, text: str = "t
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokenizer(tokenizer_path)
+        encoder, end = tokenizer(tokenizer_path), np.array([END_ID], np.int32)
         ids: list[np.ndarray] = []
         owners: list[int | None] = []
         held = seq = 0
@@ -224,9 +224,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, text: str = "t
 
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
-            for at in range(0, len(keys), 256):
-                for key, own in zip(keys[at : at + 256], encoder.encode_many(batch.column("text").slice(at, 256)), strict=True):
-                    own = np.concatenate((own, [END_ID]))
+            for at in range(0, len(keys), 2048):
+                for key, own in zip(keys[at : at + 2048], encoder.encode_many(batch.column("text").slice(at, 2048)), strict=True):
+                    own = np.concatenate((own, end))
                     if ids and held + len(own) > shard_tokens:
                         yield shard()
                         ids, owners, held, seq = [], [], 0, seq + 1
