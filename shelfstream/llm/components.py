@@ -28,10 +28,10 @@ def components(edges: DataFrame) -> DataFrame:
         both = table.union(table.select("to", "node"))
         least = both.groupBy("node").agg(F.min("to").alias("m")).select("node", F.least("node", "m").alias("m"))
         large = (
-            both.filter("to > node").join(least, "node").select(F.col("to").alias("node"), F.col("m").alias("to")).distinct()
+            both.filter("to > node").join(least.hint("merge"), "node").select(F.col("to").alias("node"), F.col("m").alias("to")).distinct()
         )
         least = large.groupBy("node").agg(F.min("to").alias("m"))
-        small = large.join(least, "node").select(
+        small = large.join(least.hint("merge"), "node").select(
             F.explode(F.array(F.struct(F.col("to").alias("node"), F.col("m").alias("to")), F.struct("node", F.col("m").alias("to")))).alias("e")
         ).select("e.node", "e.to").filter("node <> to")
         table, after = _written(small)

@@ -30,8 +30,9 @@ def exact_dedup(docs: DataFrame, carry: list[str], text: str = "text", doc_id: s
     Every input row gives one output row; columns besides ``carry``, the text and the id are ignored.
     """
     spark = docs.sparkSession
+    others = [c for c in dict.fromkeys(carry) if c != text]
     state = docs.select(
-        F.struct(*[F.col(c) for c in dict.fromkeys(carry)]).alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("raw"),
+        F.struct(F.lit(True).alias("_"), *[F.col(c) for c in others]).alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("raw"),
     ).withColumn("class", F.octet_length(normalised(F.col("raw"))).cast("long"))
     finished, offset, width = [], 0, FIRST_BLOCK
     while True:
@@ -46,7 +47,8 @@ def exact_dedup(docs: DataFrame, carry: list[str], text: str = "text", doc_id: s
             .filter("size > 1").withColumn("next", F.monotonically_increasing_id()),
             "radix-classes",
         )
-        joined = split.withColumn("sha", F.sha2("norm", 256)).drop("norm").join(shared, ["class", "block"], "left")
+        # Shuffled at every size: the classes grow with the corpus.
+        joined = split.withColumn("sha", F.sha2("norm", 256)).drop("norm").join(shared.hint("merge"), ["class", "block"], "left")
         done = F.col("size").isNull() | F.col("ended")
         left = Observation()
         path = fresh_path(spark, "radix-round")
@@ -54,13 +56,13 @@ def exact_dedup(docs: DataFrame, carry: list[str], text: str = "text", doc_id: s
             joined.select(
                 "row", "id", F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("keep")).alias("keep"),
                 F.coalesce("size", F.lit(1)).cast("long").alias("size"), "sha", F.when(~done, F.col("next")).alias("class"),
-                F.when(~done, F.coalesce("raw", F.lit(""))).alias("raw"),
+                (F.col("raw") if text in carry else F.when(~done, F.col("raw"))).alias("raw"),
             )
             .observe(left, F.count("class").alias("rows"))
             .write.parquet(path)
         )
         table = spark.read.parquet(path)
-        finished.append(table.filter(F.col("class").isNull()).select("row", "id", "keep", "size", "sha"))
+        finished.append(table.filter(F.col("class").isNull()).select("row", "id", "raw", "keep", "size", "sha"))
         if not left.get["rows"]:
             break
         state = table.filter(F.col("class").isNotNull()).select("row", "id", "raw", "class")
@@ -69,6 +71,6 @@ def exact_dedup(docs: DataFrame, carry: list[str], text: str = "text", doc_id: s
     for part in finished[1:]:
         result = result.unionByName(part)
     return result.select(
-        *[F.col("row")[c].alias(c) for c in dict.fromkeys(carry)], F.col("keep").alias("keep_id"),
+        *[F.col("raw").alias(c) if c == text else F.col("row")[c].alias(c) for c in dict.fromkeys(carry)], F.col("keep").alias("keep_id"),
         F.col("size").alias("group_size"), F.col("id").eqNullSafe(F.col("keep")).alias("kept"), F.col("sha").alias("text_sha256"),
     )

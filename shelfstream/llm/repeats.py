@@ -199,7 +199,7 @@ def answered(packs: DataFrame, name: Callable[[dict], tuple[np.ndarray, np.ndarr
     lists = bits.groupBy("pack").agg(F.collect_list(F.struct("range", "bits")).alias("answers"))
     path = fresh_path(packs.sparkSession, "answers")
     lists.write.parquet(path)
-    return packs.join(packs.sparkSession.read.parquet(path), "pack", "left")
+    return packs.join(packs.sparkSession.read.parquet(path).hint("merge"), "pack", "left")
 
 
 def read_answers(row: dict, keys: np.ndarray, keys_in_all: int) -> np.ndarray:

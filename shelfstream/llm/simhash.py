@@ -77,7 +77,7 @@ def links(nodes: DataFrame) -> DataFrame:
         .selectExpr("fp", "id", f"explode({_points()}) AS point")
     )
     shared = materialize(filed.groupBy("point").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "points")
-    members = materialize(filed.join(shared, "point"), "members")
+    members = materialize(filed.join(shared.hint("merge"), "point"), "members")
     near = (
         members.filter(f"n <= {CROWDED}").groupBy("point").agg(F.collect_list(F.struct("fp", "id")).alias("all"))
         .selectExpr("all", "explode(all) AS a")
@@ -89,7 +89,7 @@ def links(nodes: DataFrame) -> DataFrame:
         .selectExpr("id", "explode(concat(array(fp), transform(sequence(0, 63), j -> fp ^ shiftleft(1L, j)))) AS point")
     )
     centres = fine.groupBy("point").agg(F.min("id").alias("to"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    stars = fine.join(centres, "point").filter("id <> to").selectExpr("id AS node", "to")
+    stars = fine.join(centres.hint("merge"), "point").filter("id <> to").selectExpr("id AS node", "to")
     return near.union(stars)
 
 
@@ -102,8 +102,8 @@ def simhash_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     prints = materialize(fingerprints(docs, text, doc_id, shingle), "fingerprints")
     nodes = materialize(prints.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("id")), "nodes")
     roots = components(links(nodes))
-    named = nodes.join(roots, nodes["id"] == roots["node"], "left").select("fp", F.coalesce("root", "id").alias("component_id"))
-    return prints.join(named, "fp", "left").select(
+    named = nodes.join(roots.hint("merge"), nodes["id"] == roots["node"], "left").select("fp", F.coalesce("root", "id").alias("component_id"))
+    return prints.join(named.hint("merge"), "fp", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
     )
