@@ -105,7 +105,7 @@ class PieceEncoder:
 
     def fits(self, left: str | None, piece: str) -> bool:
         """Merging the pair's text gives the pair back; the first piece has to stand for itself."""
-        if len(self._pairs) > 1_000_000:
+        if len(self._pairs) > 500_000:
             self._pairs.clear()
         own = [piece] if left is None else [left, piece]
         known = self._pairs[left, piece] = merged("".join(own), self.score) == own
@@ -145,7 +145,7 @@ class PieceEncoder:
         """Ids of a text with no two blanks in a row; characters outside the vocabulary become bytes."""
         if not self._by_segment:
             return self._segment(text)
-        if len(self._segments) > 400_000:
+        if len(self._segments) > 250_000:
             self._segments.clear()
         ids: list[int] = []
         for segment in SEGMENT.findall(text):

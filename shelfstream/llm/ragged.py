@@ -17,7 +17,7 @@ class RaggedCache:
     ``16 * limit`` ids, which bounds its memory.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]], limit: int = 800_000):
+    def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]], limit: int = 500_000):
         self._encode, self._limit = encode, limit
         self._clear()
 
@@ -65,7 +65,7 @@ class RaggedCache:
         return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
-def in_blocks(texts: pa.Array, size: int = 4 << 20) -> Iterator[pa.Array]:
+def in_blocks(texts: pa.Array, size: int = 2 << 20) -> Iterator[pa.Array]:
     """Slices of about ``size`` bytes, one text at least."""
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     at = 0
