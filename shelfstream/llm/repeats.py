@@ -15,7 +15,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from shelfstream.session import fresh_path
 
@@ -99,8 +99,14 @@ def byte_keys(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
 
 
 # ---- packs --------------------------------------------------------------------
-def write_packs(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, int]:
-    """The documents as a table of packs in the shared folder, and the bytes of all texts."""
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a working table that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def write_packs(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, int, str]:
+    """The documents as a table of packs in the shared folder, the bytes of all texts, and the table's path."""
     spark = docs.sparkSession
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +137,7 @@ def write_packs(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, int
         .observe(seen, F.sum(F.octet_length("data")).alias("bytes"))
         .write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
     )
-    return spark.read.parquet(path), seen.get["bytes"] or 0
+    return spark.read.parquet(path), seen.get["bytes"] or 0, path
 
 
 class Pack:

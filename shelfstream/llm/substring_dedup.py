@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from shelfstream.llm.repeats import (
-    _byte_values, Pack, answered, covered_runs, difference_cover, read_answers, rows_of, running, window_keys, write_packs,
+    _byte_values, Pack, answered, covered_runs, difference_cover, discard, read_answers, rows_of, running, window_keys, write_packs,
 )
 from shelfstream.session import fresh_path
 
@@ -76,8 +76,7 @@ def remove_repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "
     spark = docs.sparkSession
     v, residues = _cover(window)
     anchor = window - v + 1
-    packs, _ = write_packs(docs, text, doc_id)
-    counted = packs.select(F.sum(F.octet_length("data"))).first()[0] or 0
+    packs, counted, packed = write_packs(docs, text, doc_id)
     anchors = counted // 6 * len(residues) // v  # about six bytes a word
 
     def at_cover(words: Words) -> np.ndarray:
@@ -118,6 +117,7 @@ def remove_repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "
         .observe(seen, F.sum("n_windows").alias("windows"))
         .write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
     )
+    discard(spark, packed)
     found = spark.read.parquet(path)
     windows = seen.get["windows"] or 0
 
@@ -138,7 +138,7 @@ def remove_repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "
             pack = Pack(row)
             words, at = Words(pack), starts_of(row)
             keys, least, index, _ = _smallest(words.names(at, window), words.ids[at])
-            repeated = at[(read_answers(row, keys, windows) | False)[index] | (least[index] < words.ids[at])]
+            repeated = at[read_answers(row, keys, windows)[index] | (least[index] < words.ids[at])]
             gone = np.zeros(len(words.first), bool)
             for first, last in zip(*covered_runs(repeated, window), strict=True):
                 gone[first:last] = True

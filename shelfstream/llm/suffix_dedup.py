@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from shelfstream.llm.repeats import (
-    ARROW_PACK, PACK_SCHEMA, Pack, answered, byte_keys, covered_runs, difference_cover, mix, read_answers, rows_of, write_packs,
+    ARROW_PACK, PACK_SCHEMA, Pack, answered, byte_keys, covered_runs, difference_cover, discard, mix, read_answers, rows_of, write_packs,
 )
 from shelfstream.session import fresh_path
 
@@ -77,7 +77,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     spark = docs.sparkSession
     v, residues = _cover(length)
-    packs, size = write_packs(docs, text, doc_id)
+    packs, size, packed = write_packs(docs, text, doc_id)
     samples = size * len(residues) // v
 
     def sampled_names(row: dict) -> tuple[np.ndarray, None]:
@@ -126,6 +126,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         .observe(seen, F.sum(windows).alias("windows"))
         .write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
     )
+    discard(spark, packed)
     found = spark.read.parquet(path)
     suffixes = seen.get["windows"] or 0
 
