@@ -111,7 +111,7 @@ def found(pattern: str) -> str:
 
 
 ORACLES: dict[str, str] = {
-    "src_relational": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'",
+    "src_relational": "SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders",
     "src_log_text": "SELECT date_trunc('hour', ts) AS hour, count(*) AS lines FROM {service_log} GROUP BY 1",
     "sink_csv_protect": f"SELECT id, {csv('title')} AS title_field, {csv('author', trim=False)} AS author_field FROM {{simple_record}}",
     "sink_items_csv": with_header(ITEM_HEADER, f"SELECT {ITEM_CELLS} FROM {{items_file}}"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -27,17 +26,13 @@ def configure_session(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
-    A machine-local folder is made only where the setting is missing and the
-    master is local, as in tests.
+    Where that is unset, as in tests, a folder in the warehouse is used, which executors share as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="shelfstream-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not configured:
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/working-tables"
+        spark.conf.set("spark.checkpoint.dir", configured)
+    return configured.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

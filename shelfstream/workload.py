@@ -49,8 +49,7 @@ def query(function: Callable[[LibraryJobs], DataFrame]) -> Callable[[LibraryJobs
 # ---- sources and sinks ----------------------------------------------------
 @query
 def src_relational(j):
-    recent = j.t.orders.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
-    return recent.select("o_orderkey", "o_custkey", "o_totalprice")
+    return j.t.orders.withColumn("o_orderdate", F.to_date("o_orderdate"))
 
 
 def _written_service_log(j) -> str:
