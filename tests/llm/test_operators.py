@@ -87,6 +87,14 @@ def test_difference_covers():
         assert {(a - b) % v for a in cover for b in cover} == set(range(v))
 
 
+@pytest.mark.parametrize("size", [1, 2, 300, 100_000])
+def test_names_are_sent_whole(size):
+    keys = np.unique(np.random.default_rng(size).integers(0, 1 << 64, size, dtype=np.uint64))
+    keys[-1] = np.uint64((1 << 64) - 1)
+    sent = repeats._sent(keys)
+    assert np.array_equal(repeats._received(sent), keys) and (size < 100_000 or len(sent) < 6.7 * size)
+
+
 def test_substring_dedup(docs, nothing):
     words = {k: re.findall("[^\x20\x09-\x0d]+", t) for k, t in texts().items()}
     first = {}
