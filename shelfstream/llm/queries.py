@@ -23,7 +23,7 @@ def _tokenizer(name: str) -> str:
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     untouched, cut = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
-    return untouched.drop("kept").unionByName(cut.drop("kept"))
+    return untouched.drop("kept", "text_sha256").unionByName(cut.drop("kept", "text_sha256"))
 
 
 def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

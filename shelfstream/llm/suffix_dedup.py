@@ -31,7 +31,7 @@ from shelfstream.session import fresh_path
 
 LENGTH = 400
 REST_FIELDS = "clean_docs array<long>, clean_lengths array<long>, clean_sha256 array<string>, region array<struct<a: long, b: long>>"
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string, text_sha256 string"
 
 
 def _cover(length: int) -> tuple[int, tuple[int, ...]]:
@@ -69,7 +69,7 @@ def _all_suffixes(pack: Pack, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """(untouched, cut): rows of the schema ``RESULT``; ``kept`` holds the remaining text of cut documents only,
-    without characters that were cut in two.
+    without characters that were cut in two; ``text_sha256`` is of the whole input text, for finding rows whose id is not unique.
 
     Removed is every byte covered by a ``length``-byte string that also starts anywhere else in the corpus, the same
     document included and overlaps counting.  Texts count as UTF-8 bytes, null as empty; no match spans documents.  Each
@@ -151,17 +151,19 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                 out.append({
                     "doc_id": key, "n_bytes": whole, "n_removed": whole - len(kept), "n_spans": len(first),
                     "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept.decode("utf-8", "ignore"),
+                    "text_sha256": hashlib.sha256(data[pack.starts[k] : pack.ends[k]]).hexdigest(),
                 })
             yield pa.RecordBatch.from_pylist(out, schema=arrow_result)
 
     arrow_result = pa.schema([
         ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-        ("kept_sha256", pa.string()), ("kept", pa.string()),
+        ("kept_sha256", pa.string()), ("kept", pa.string()), ("text_sha256", pa.string()),
     ])
     touched = found.filter(F.size("docs") > 0).select("pack", "docs", "lengths", "data", "region")
     removed = answered(touched, suffix_names, suffixes).mapInArrow(cut, RESULT)
     untouched = found.select(F.explode(F.arrays_zip("clean_docs", "clean_lengths", "clean_sha256")).alias("c")).select(
         F.col("c.clean_docs").alias("doc_id"), F.col("c.clean_lengths").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
         F.lit(0).cast("long").alias("n_spans"), F.col("c.clean_sha256").alias("kept_sha256"), F.lit(None).cast("string").alias("kept"),
+        F.col("c.clean_sha256").alias("text_sha256"),
     )
     return untouched, removed
