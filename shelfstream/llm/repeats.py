@@ -101,13 +101,20 @@ def byte_keys(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
 
 
 # ---- packs --------------------------------------------------------------------
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished jobs.
+
+    It removes a shuffle's files when its plan is garbage, which on an idle driver may be half an hour later.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(spark: SparkSession, path: str) -> None:
-    """Delete a working table that nothing reads any more, and let Spark drop the shuffle files of the jobs before it."""
+    """Delete a working table that nothing reads any more, with the shuffle files of the jobs before it."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    # Spark removes a shuffle's files when its plan is garbage, which on an idle driver may be half an hour later.
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    free_shuffles(spark)
 
 
 def write_packs(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, int, str]:
