@@ -83,7 +83,7 @@ def price(value: str) -> str:
 def naco(value: str) -> str:
     return (
         f"trim(regexp_replace(regexp_replace(translate(lower({value}), '{ACCENTED}', '{UNACCENTED}'), "
-        r"'[''\[\]]', '', 'g'), '[^\p{L}\p{N}]+', ' ', 'g'))"
+        r"'[''\[\]\p{M}]', '', 'g'), '[^\p{L}\p{N}]+', ' ', 'g'))"
     )
 
 

@@ -91,11 +91,11 @@ def uniq_list(values: Column) -> Column:
 def naco_normalize(value: Column) -> Column:
     """Approximate authority-heading normalisation.
 
-    Lower case, no diacritics, no apostrophes or square brackets, other
+    Lower case, no diacritics (composed or combining), no apostrophes or square brackets, other
     punctuation as single spaces.
     """
     folded = F.translate(F.lower(value), ACCENTED, UNACCENTED)
-    bare = F.regexp_replace(folded, r"['\[\]]", "")
+    bare = F.regexp_replace(folded, r"['\[\]\p{M}]", "")
     return F.trim(F.regexp_replace(bare, r"[^\p{L}\p{N}]+", " "))
 
 
