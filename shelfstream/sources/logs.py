@@ -1,22 +1,41 @@
-"""Text log sources: hourly files as batch or as a resumable stream."""
+"""Text log sources: hourly files as batch or as a stream that resumes inside growing files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import json
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 # Fixed value: how an hourly file path spells its day and hour.
 HOUR_IN_PATH = r"(\d{4})/(\d{2})/(\d{2})/[^/]*?\.(\d{2})\.log"
 
+BLOCK_BYTES = 32 << 20  # of a file's new bytes that one task reads
+LOOK_BACK = 64 << 10
+GROWING = pa.schema([("line", pa.string()), ("file", pa.string())])
+
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
     """(line, hour) of hourly files below ``path``; the hour comes from the file name."""
-    return with_hour(spark.read.option("recursiveFileLookup", "true").text(path))
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    return lines.select(F.col("value").alias("line"), hour_in_path(F.col("_metadata.file_path")).alias("hour"))
+
 
+def stream_log_lines(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The same as a stream that also sees lines appended to files it has read.
 
-def stream_log_lines(spark: SparkSession, path: str, max_files_per_trigger: int = 1000) -> DataFrame:
-    """The same as a stream; the query's checkpoint remembers what was read."""
-    reader = spark.readStream.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files_per_trigger)
-    return with_hour(reader.text(path))
+    The query's checkpoint keeps a byte position per file, so each line comes once, also after a restart.  A line counts
+    when its line feed is written; text after a file's last line feed waits for the next run.  A file that has become
+    shorter was started anew and is read from its beginning.  Files are plain UTF-8 text; names led by ``.`` or ``_`` are
+    left out, as Spark's own readers do.  ``path`` may be any URI that pyarrow's file systems open.
+    """
+    spark.dataSource.register(GrowingLog)
+    lines = spark.readStream.format(GrowingLog.name()).option("blockBytes", str(block_bytes)).load(path)
+    return lines.select("line", hour_in_path(F.col("file")).alias("hour"))
 
 
 def stamped_line(value):
@@ -29,8 +48,82 @@ def stamped_line(value):
     )
 
 
-def with_hour(lines: DataFrame) -> DataFrame:
-    path = F.col("_metadata.file_path")
+def hour_in_path(path: Column) -> Column:
     parts = [F.regexp_extract(path, HOUR_IN_PATH, n) for n in range(1, 5)]
     stamp = F.concat(parts[0], F.lit("-"), parts[1], F.lit("-"), parts[2], F.lit(" "), parts[3], F.lit(":00:00"))
-    return lines.select(F.col("value").alias("line"), stamp.try_cast("timestamp_ntz").alias("hour"))
+    return stamp.try_cast("timestamp_ntz")
+
+
+# ---- growing files -----------------------------------------------------------
+@dataclass
+class Block(InputPartition):
+    """The bytes [start, end) of a file; it owns the lines whose line feed lies in it."""
+
+    file: str
+    start: int
+    end: int
+
+
+class GrowingLog(DataSource):
+    """Streaming source of log files: the offset is the length read of each file, blocks of new bytes are read by tasks."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "growing_log"
+
+    def schema(self) -> str:
+        return "line string, file string"
+
+    def streamReader(self, schema) -> GrowingLogReader:
+        return GrowingLogReader(self.options["path"], int(self.options.get("blockBytes", BLOCK_BYTES)))
+
+
+class GrowingLogReader(DataSourceStreamReader):
+    def __init__(self, path: str, block_bytes: int):
+        self.path, self.block_bytes = path, block_bytes
+
+    def _open(self) -> tuple[fs.FileSystem, str]:
+        path = self.path
+        if path.startswith("file:"):
+            path = "/" + path.removeprefix("file:").lstrip("/")
+        return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+    def initialOffset(self) -> dict:
+        return {"files": "{}"}
+
+    def latestOffset(self) -> dict:
+        """Lengths of all files, as text because offsets hold plain values only."""
+        store, root = self._open()
+        found = store.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
+        sizes = {}
+        for info in found:
+            below = info.path.removeprefix(root.rstrip("/") + "/").split("/")
+            if info.type == fs.FileType.File and not any(part.startswith((".", "_")) for part in below):
+                sizes[info.path] = info.size
+        return {"files": json.dumps(sizes, sort_keys=True)}
+
+    def partitions(self, start: dict, end: dict) -> list[Block]:
+        before, blocks = json.loads(start["files"]), []
+        for file, size in json.loads(end["files"]).items():
+            done = before.get(file, 0)
+            first = done if done <= size else 0
+            blocks += [Block(file, at, min(at + self.block_bytes, size)) for at in range(first, size, self.block_bytes)]
+        return blocks
+
+    def read(self, partition: Block) -> Iterator[pa.RecordBatch]:
+        store, _ = self._open()
+        with store.open_input_file(partition.file) as source:
+            data = source.read_at(partition.end - partition.start, partition.start)
+            last = data.rfind(b"\n")
+            if last < 0:
+                return
+            # The first line may have begun in an earlier block.
+            at, head = partition.start, b""
+            while at > 0 and b"\n" not in head:
+                step = min(at, max(LOOK_BACK, len(head)))
+                at -= step
+                head = source.read_at(step, at) + head
+        lines = (head[head.rfind(b"\n") + 1 :] + data[:last]).split(b"\n")
+        for k in range(0, len(lines), 10_000):
+            texts = [line.removesuffix(b"\r").decode("utf-8", "replace") for line in lines[k : k + 10_000]]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array([partition.file] * len(texts), pa.string())], schema=GROWING)

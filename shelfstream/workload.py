@@ -61,8 +61,8 @@ def _written_service_log(j) -> str:
 
 
 def _streamed_service_log(spark, path):
-    lines = spark.readStream.schema("value string, day date").format("text").load(path)
-    return lines.select(log_source.stamped_line(F.col("value")).alias("l")).select("l.ts", "l.line")
+    lines = log_source.stream_log_lines(spark, path)
+    return lines.select(log_source.stamped_line(F.col("line")).alias("l")).select("l.ts", "l.line")
 
 
 @query

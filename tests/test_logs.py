@@ -109,3 +109,42 @@ def test_stream_resumes_where_it_stopped_and_equals_batch(spark, tmp_path):
     streamed = run()
     batch = logs.service_health(log_source.read_log_lines(spark, source))
     assert streamed == sorted((r.line, r.severity) for r in batch.collect()) and len(streamed) == 3
+
+
+def test_stream_sees_lines_appended_to_a_file_it_has_read(spark, tmp_path):
+    out, mark = str(tmp_path / "out"), str(tmp_path / "mark")
+    day = tmp_path / "in" / "2024" / "01" / "15"
+    day.mkdir(parents=True)
+    log = day / "eg_stats.10.log"
+
+    def run(block_bytes):
+        lines = log_source.stream_log_lines(spark, str(tmp_path / "in"), block_bytes)
+        lines.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).trigger(
+            availableNow=True
+        ).start().awaitTermination()
+        return sorted((r.line, str(r.hour)) for r in spark.read.schema("line string, hour timestamp_ntz").parquet(out).collect())
+
+    def expected(*lines):
+        return sorted((line, "2024-01-15 10:00:00") for line in lines)
+
+    log.write_bytes("eins\nzw\u00f6lf".encode())
+    assert run(3) == expected("eins")
+    with log.open("ab") as file:
+        file.write(b"f\n\nlong " + b"x" * 200 + b"\nopen")
+    long = "long " + "x" * 200
+    assert run(7) == expected("eins", "zw\u00f6lff", "", long)
+    assert run(7) == expected("eins", "zw\u00f6lff", "", long)
+    with log.open("ab") as file:
+        file.write(b" end\r\n")
+    (day / "eg_stats.11.log").write_bytes(b"next hour\n")
+    (day / ".eg_stats.11.log.crc").write_bytes(b"no log\n")
+    streamed = run(1 << 20)
+    assert streamed == sorted([*expected("eins", "zw\u00f6lff", "", long, "open end"), ("next hour", "2024-01-15 11:00:00")])
+    batch = log_source.read_log_lines(spark, str(tmp_path / "in"))
+    assert streamed == sorted((r.line, str(r.hour)) for r in batch.collect())
+
+
+def test_a_file_started_anew_is_read_from_its_beginning():
+    reader = log_source.GrowingLogReader("/nowhere", 10)
+    blocks = reader.partitions({"files": '{"a": 30, "b": 5}'}, {"files": '{"a": 12, "b": 5, "c": 1}'})
+    assert [(b.file, b.start, b.end) for b in blocks] == [("a", 0, 10), ("a", 10, 12), ("c", 0, 1)]
