@@ -3,41 +3,46 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from shelfstream.functions.dates import format_mmddyyyy
 from shelfstream.functions.text import csv_line, csv_protect
+from shelfstream.session import materialize
 
 
-def org_ancestors(org_unit: DataFrame, max_depth: int = 6) -> DataFrame:
-    """Each unit with itself and all its ancestors, nearest first.
+def org_ancestors(org_unit: DataFrame, levels: int = 6) -> DataFrame:
+    """(id, ancestor) of each unit with itself and all its ancestors, however deep the tree is.
 
-    One parent look-up per level against the same (id, parent) table, so the
-    exchange of that table is reused and no driver-side loop is needed.  A tree
-    deeper than ``max_depth`` fails the job instead of losing levels.
+    One written table holds ``levels`` look-ups against the same parents; units whose chain goes on climb further from where
+    they stopped, so an ordinary tree takes one table.  A cycle fails the job.
     """
-    parents = org_unit.select(F.col("id").alias("child"), F.col("parent_ou").alias("parent"))
-    chain = org_unit.select("id", F.col("parent_ou").alias("up1"))
-    for level in range(2, max_depth + 1):
-        step = parents.select(F.col("child").alias(f"c{level}"), F.col("parent").alias(f"up{level}"))
-        chain = chain.join(step, F.col(f"up{level - 1}") == F.col(f"c{level}"), "left").drop(f"c{level}")
-    overflow = F.when(
-        F.col(f"up{max_depth}").isNotNull(), F.raise_error(F.lit("organisation tree deeper than max_depth"))
-    ).cast("bigint")
-    steps = [F.col("id")] + [F.col(f"up{level}") for level in range(1, max_depth)] + [overflow]
-    return chain.select("id", F.array_compact(F.array(*steps)).alias("ancestors"))
-
-
-def org_descendants(
-    org_unit: DataFrame, roots: Sequence[str], match_case: bool = False, max_depth: int = 6
-) -> DataFrame:
+    parents = org_unit.filter(F.col("parent_ou").isNotNull()).select(F.col("id").alias("child"), F.col("parent_ou").alias("parent"))
+    climbing, found = parents.select(F.col("child").alias("id"), F.col("parent").alias("up1")), []
+    while True:
+        for level in range(2, levels + 2):
+            step = parents.select(F.col("child").alias(f"c{level}"), F.col("parent").alias(f"up{level}"))
+            climbing = climbing.join(step, F.col(f"up{level - 1}") == F.col(f"c{level}"), "left").drop(f"c{level}")
+        met = F.array_compact(F.array(*[f"up{level}" for level in range(1, levels + 1)]))
+        cycle = F.raise_error(F.concat(F.lit("organisation tree has a cycle at "), F.col("id").cast("string")))
+        chains = climbing.select(
+            "id", F.when(F.array_contains(met, F.col("id")), cycle).otherwise(met).alias("met"), F.col(f"up{levels + 1}").alias("up1")
+        )
+        chains = materialize(chains, "org-chains")
+        found.append(chains.select("id", F.explode("met").alias("ancestor")))
+        climbing = chains.filter(F.col("up1").isNotNull()).select("id", "up1")
+        if climbing.isEmpty():
+            break
+    return reduce(DataFrame.unionAll, found, org_unit.select("id", F.col("id").alias("ancestor")))
+
+
+def org_descendants(org_unit: DataFrame, roots: Sequence[str], match_case: bool = False) -> DataFrame:
     """(root, org_id) for each named root and every unit below it, roots included."""
     name = F.col("shortname") if match_case else F.lower("shortname")
     wanted = list(roots) if match_case else [root.lower() for root in roots]
-    chosen = org_unit.filter(name.isin(wanted)).select(F.col("id").alias("root_id"), F.col("shortname").alias("root"))
-    lines = org_ancestors(org_unit, max_depth).select(F.col("id").alias("org_id"), F.explode("ancestors").alias("root_id"))
-    return lines.join(chosen, "root_id").select("root", "org_id")
+    chosen = org_unit.filter(name.isin(wanted)).select(F.col("id").alias("ancestor"), F.col("shortname").alias("root"))
+    return org_ancestors(org_unit).join(chosen, "ancestor").select("root", F.col("id").alias("org_id"))
 
 
 def volume_owning(org_unit: DataFrame, org_unit_type: DataFrame) -> DataFrame:

@@ -144,15 +144,25 @@ def test_uses_since_arrival(rows):
 ORG = "id bigint, shortname string, name string, ou_type int, parent_ou bigint"
 
 
-def test_org_scope_and_depth_guard(rows):
-    import pytest
-
+def test_org_scope_at_any_depth(rows):
     tree = rows(ORG, (1, "CONS", "c", 1, None), (2, "SYS", "s", 2, 1), (3, "BR1", "b", 3, 2), (4, "BR2", "b", 3, 2), (5, "OTH", "o", 2, 1))
     got = {(r.root, r.org_id) for r in orgs.org_descendants(tree, ["sys", "oth"]).collect()}
     assert got == {("SYS", 2), ("SYS", 3), ("SYS", 4), ("OTH", 5)}
     assert orgs.org_descendants(tree, ["sys"], match_case=True).count() == 0
-    with pytest.raises(Exception, match="deeper than max_depth"):
-        orgs.org_descendants(tree, ["CONS"], max_depth=1).collect()
+    for depth in (6, 7, 8, 14, 20):
+        chain = rows(ORG, *[(n, f"U{n}", "u", 1, n - 1 or None) for n in range(1, depth + 1)], (99, "SIDE", "x", 1, 1))
+        got = sorted((r.root, r.org_id) for r in orgs.org_descendants(chain, ["u1", "u2"]).collect())
+        assert got == sorted([("U1", n) for n in [*range(1, depth + 1), 99]] + [("U2", n) for n in range(2, depth + 1)])
+    assert orgs.org_descendants(tree.filter("id < 0"), ["sys"]).count() == 0
+
+
+def test_org_cycle_fails(rows):
+    import pytest
+
+    for length in (1, 3, 6, 7, 15):
+        ring = [(n, f"U{n}", "u", 1, n % length + 1) for n in range(1, length + 1)]
+        with pytest.raises(Exception, match="cycle"):
+            orgs.org_descendants(rows(ORG, *ring, (50, "TAIL", "t", 1, 1)), ["U1"]).collect()
 
 
 def test_non_mailing_address_comes_first(rows):
