@@ -58,11 +58,13 @@ def windowed(mark: str, minutes: int, warn: int, crit: int) -> str:
         FROM {{app_log}} WHERE contains(line, '{mark}') GROUP BY 1"""
 
 
-def koha_transactions(loans: str, window: bool) -> str:
+def koha_transactions(loans: str, window: bool, corrected: bool = False) -> str:
     def test(column: str) -> str:
+        if corrected:
+            return f"{column} IS NOT NULL"
         return f"{column} > {D} - INTERVAL 1 DAY AND {column} < {D}" if window else "TRUE"
 
-    gone = f"{test('i.timestamp')} AND i.withdrawn <> 0" if window else "TRUE"
+    gone = f"{test('i.timestamp')} AND i.withdrawn <> 0" if window or corrected else "TRUE"
     return f"""
         SELECT i.itemnumber, i.barcode, i.biblionumber AS biblio_id, e.kind AS transaction_type,
                CAST(e.at AS DATE) AS transaction_day, e.branchcode AS transaction_branch, CAST(e.due AS DATE) AS due_day
@@ -277,8 +279,12 @@ ORACLES: dict[str, str] = {
     "union_current_aged": "SELECT is_live, circ_lib, count(id) AS loans FROM {loans} GROUP BY 1, 2",
     "transactions_union": "SELECT * FROM {transactions}",
     "transactions_alltime": ALLTIME_TRANSACTIONS,
+    "transactions_alltime_corrected": f"""
+        SELECT * FROM ({ALLTIME_TRANSACTIONS}) WHERE transaction_day IS NOT NULL
+        AND (transaction_type <> 'deleted' OR ac_id IN (SELECT id FROM {{copy}} WHERE deleted))""",
     "koha_transactions": koha_transactions("koha_issues", True),
     "koha_transactions_alltime": koha_transactions("koha_loans", False),
+    "koha_transactions_alltime_corrected": koha_transactions("koha_loans", False, corrected=True),
     "uniq_list": """
         SELECT r.id, u.unique_isbns FROM {simple_record} r LEFT JOIN (
             SELECT id, string_agg(v, ';' ORDER BY i) AS unique_isbns FROM (
@@ -353,10 +359,7 @@ ORACLES: dict[str, str] = {
                floor(CAST(buffers AS DOUBLE) / mem_total * 100 * 100 + 0.5) / 100 AS buffers_pct,
                floor(CAST(cached AS DOUBLE) / mem_total * 100 * 100 + 0.5) / 100 AS cached_pct,
                floor(CAST(mem_free + buffers + cached AS DOUBLE) / mem_total * 100 * 100 + 0.5) / 100 AS available_pct FROM {ram_sample}""",
-    "stream_window_alert": f"""
-        SELECT * FROM ({windowed("Returning NULL", 60, 2, 4)})
-        WHERE window_start + INTERVAL 1 HOUR <= (SELECT date_trunc('second', max(ts)) - INTERVAL 1 HOUR FROM {{app_log}}
-                                                 WHERE contains(line, 'Returning NULL'))""",
+    "stream_window_alert": windowed("Returning NULL", 60, 2, 4),
     "window_count_alert": windowed_with_server("Returning NULL", 15, 2, 4),
     "hour_count_alert": windowed_with_server("IS NOT CONNECTED TO THE NETWORK", 60, 3, 6),
     "recent_count_alert": """

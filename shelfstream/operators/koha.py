@@ -127,14 +127,14 @@ def hold_counts(holds: DataFrame) -> DataFrame:
     return holds.groupBy("biblio_id", "holds_branch").agg(F.count("reserve_id").alias("hold_count"))
 
 
-def transactions(source: DataFrame, issues: DataFrame, as_of: str | None) -> DataFrame:
+def transactions(source: DataFrame, issues: DataFrame, as_of: str | None, strict_reference: bool = False) -> DataFrame:
     """Check-outs, renewals, check-ins and withdrawals.
 
-    With ``as_of=None`` pass live and archived issues together; the all-time
-    job takes every row, and marks every item as deleted.
+    With ``as_of=None`` pass live and archived issues together; ``strict_reference``
+    then keeps events without a time and marks every item as deleted.
     """
     def event(kind, when, due):
-        return issues.filter(previous_day(when, as_of)).select(
+        return issues.filter(previous_day(when, as_of, strict_reference)).select(
             "itemnumber", F.lit(kind).alias("transaction_type"), F.col(when).alias("transaction_date"),
             F.col("branchcode").alias("transaction_branch"), due.cast("timestamp_ntz").alias("due_date"),
         )
@@ -146,8 +146,8 @@ def transactions(source: DataFrame, issues: DataFrame, as_of: str | None) -> Dat
         .unionByName(event("checkin", "returndate", nothing))
     )
     owners = source.select("itemnumber", "barcode", F.col("biblionumber").alias("biblio_id"))
-    gone = source.filter(previous_day("timestamp", as_of))
-    if as_of is not None:
+    gone = source.filter(previous_day("timestamp", as_of, strict_reference))
+    if as_of is not None or not strict_reference:
         gone = gone.filter(F.col("withdrawn") != 0)
     gone = gone.select(
         "itemnumber", "barcode", F.col("biblionumber").alias("biblio_id"), F.lit("deleted").alias("transaction_type"),

@@ -11,26 +11,29 @@ COLUMNS = (
 )
 
 
-def previous_day(column: str, as_of: str | None) -> Column:
-    """Open interval (day - 1, day): both midnights are outside.  ``None`` takes all times."""
+def previous_day(column: str, as_of: str | None, strict_reference: bool = False) -> Column:
+    """Open interval (day - 1, day): both midnights are outside.
+
+    ``None`` takes all times; ``strict_reference`` then takes events without a time as well, such as the return of an open loan.
+    """
     if as_of is None:
-        return F.lit(True)
+        return F.lit(True) if strict_reference else F.col(column).isNotNull()
     day = F.lit(as_of).cast("date")
     return (F.col(column) > F.date_sub(day, 1).cast("timestamp_ntz")) & (
         F.col(column) < day.cast("timestamp_ntz")
     )
 
 
-def loan_events(circulation: DataFrame, as_of: str | None) -> DataFrame:
+def loan_events(circulation: DataFrame, as_of: str | None, strict_reference: bool = False) -> DataFrame:
     """Check-outs (or renewals) and check-ins as rows keyed by copy."""
-    out = circulation.filter(previous_day("xact_start", as_of)).select(
+    out = circulation.filter(previous_day("xact_start", as_of, strict_reference)).select(
         F.col("target_copy").alias("ac_id"),
         F.col("circ_lib").alias("branch_id"),
         F.when(F.col("parent_circ").isNotNull(), "renewal").otherwise("circ").alias("transaction_type"),
         F.col("xact_start").alias("transaction_date"),
         "due_date",
     )
-    back = circulation.filter(previous_day("checkin_time", as_of)).select(
+    back = circulation.filter(previous_day("checkin_time", as_of, strict_reference)).select(
         F.col("target_copy").alias("ac_id"),
         F.col("circ_lib").alias("branch_id"),
         F.lit("checkin").alias("transaction_type"),
@@ -40,15 +43,15 @@ def loan_events(circulation: DataFrame, as_of: str | None) -> DataFrame:
     return out.unionByName(back)
 
 
-def copy_events(copies: DataFrame, as_of: str | None, deleted_for_every_copy: bool = False) -> DataFrame:
+def copy_events(copies: DataFrame, as_of: str | None, strict_reference: bool = False) -> DataFrame:
     """Deletions and reported status changes, both dated by the copy's last edit.
 
-    ``deleted_for_every_copy`` reproduces the all-time job, whose deletion rows
+    ``strict_reference`` reproduces the all-time job, whose deletion rows
     lost their test of the deleted flag.
     """
-    gone = F.lit("deleted") if deleted_for_every_copy else F.when(F.col("deleted"), "deleted")
+    gone = F.lit("deleted") if strict_reference and as_of is None else F.when(F.col("deleted"), "deleted")
     kinds = F.array_compact(F.array(gone, status_label(F.col("status"))))
-    return copies.filter(previous_day("edit_date", as_of)).select(
+    return copies.filter(previous_day("edit_date", as_of, strict_reference)).select(
         "root", F.col("id").alias("ac_id"), "barcode", "call_number",
         F.col("circ_lib").alias("branch_id"),
         F.explode(kinds).alias("transaction_type"),
@@ -63,7 +66,7 @@ def transactions(
     circulation: DataFrame,
     org_unit: DataFrame,
     as_of: str | None,
-    deleted_for_every_copy: bool = False,
+    strict_reference: bool = False,
 ) -> DataFrame:
     """Loans, returns, deletions and status changes of the scoped copies.
 
@@ -71,8 +74,8 @@ def transactions(
     look-up so that only events of the window travel on.
     """
     owners = copies.select("root", F.col("id").alias("ac_id"), "barcode", "call_number")
-    loans = loan_events(circulation, as_of).join(owners, "ac_id")
-    events = loans.unionByName(copy_events(copies, as_of, deleted_for_every_copy))
+    loans = loan_events(circulation, as_of, strict_reference).join(owners, "ac_id")
+    events = loans.unionByName(copy_events(copies, as_of, strict_reference))
     titles = call_number.select(F.col("id").alias("call_number"), F.col("record").alias("biblio_id"))
     branches = org_unit.select(F.col("id").alias("branch_id"), F.col("shortname").alias("transaction_branch"))
     return events.join(branches, "branch_id").join(titles, "call_number", "left").select(*COLUMNS)

@@ -25,7 +25,11 @@ FILES = ("item", "order", "circ", "hold", "bib")
 
 @dataclass(frozen=True)
 class Settings:
-    """What one export run is about; every date is explicit, nothing reads the clock."""
+    """What one export run is about; every date is explicit, nothing reads the clock.
+
+    ``strict_reference`` brings back known slips of the original: in all-time files every copy is deleted and events
+    without a time are kept, and the second system's EANs are joined on the item number.
+    """
 
     run_date: str
     scope_roots: tuple[str, ...]
@@ -36,6 +40,7 @@ class Settings:
     authority_code: str = "AUTH"
     service_code: str = "SVC"
     library_name: str = "LIB"
+    strict_reference: bool = False
 
 
 class LibraryJobs:
@@ -112,12 +117,12 @@ class LibraryJobs:
     def metarecords(self, historical: bool = False) -> DataFrame:
         return holds.held_metarecords(*self._holds(historical), self.t.metarecord_source_map)
 
-    def transactions(self, historical: bool = False, strict_reference: bool = True) -> DataFrame:
-        """Daily window, or all times; the all-time job reports every copy as deleted unless corrected."""
+    def transactions(self, historical: bool = False) -> DataFrame:
+        """Daily window, or all times."""
         as_of = None if historical else self.s.run_date
         return transactions.transactions(
             self.trans_copies(as_of), self.t.call_number, self.t.circulation, self.t.org_unit, as_of,
-            deleted_for_every_copy=historical and strict_reference,
+            self.s.strict_reference,
         )
 
     def distinct_bibs(self) -> DataFrame:
@@ -177,13 +182,13 @@ class LibraryJobs:
         t, as_of = self.t, None if historical else self.s.run_date
         return koha.item_table(
             t.koha_items, t.koha_biblioitems, koha.fund_by_item(t.koha_aqorders_items, t.koha_aqorders, t.koha_aqbudgets),
-            koha.circ_stats(t.koha_issues, t.koha_old_issues, as_of), as_of,
+            koha.circ_stats(t.koha_issues, t.koha_old_issues, as_of), as_of, self.s.strict_reference,
         )
 
     def koha_transactions(self, historical: bool = False) -> DataFrame:
         t = self.t
         if historical:
-            return koha.transactions(t.koha_items, t.koha_issues.unionByName(t.koha_old_issues), None)
+            return koha.transactions(t.koha_items, t.koha_issues.unionByName(t.koha_old_issues), None, self.s.strict_reference)
         return koha.transactions(t.koha_items, t.koha_issues, self.s.run_date)
 
     def koha_hold_counts(self, historical: bool = False) -> DataFrame:

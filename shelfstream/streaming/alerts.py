@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfstream.functions.thresholds import classify
@@ -12,8 +12,8 @@ from shelfstream.operators.logs import service_health
 def stream_service_health(lines: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
     """Score status lines as they arrive and append them to a parquet table.
 
-    The checkpoint takes the place of a saved file position; the file sink
-    commits each batch once, also after a restart.
+    The checkpoint keeps the position in each file; the file sink commits each
+    batch once, also after a restart.
     """
     return (
         service_health(lines).writeStream.format("parquet")
@@ -24,27 +24,35 @@ def stream_service_health(lines: DataFrame, output: str, checkpoint: str) -> Str
     )
 
 
-def stream_window_counts(
-    lines: DataFrame, mark: str, minutes: int, warn: int, crit: int, lateness: str, output: str, checkpoint: str
-) -> StreamingQuery:
-    """Marked lines per window, emitted once the watermark has passed the window.
+def stream_window_counts(lines: DataFrame, mark: str, minutes: int, lateness: str, output: str, checkpoint: str) -> StreamingQuery:
+    """Keep the counts of marked lines per window; :func:`window_counts` reads them.
 
-    ``ts`` is an instant (watermarks need one); the query's windows follow UTC.
+    Each batch writes the windows it changed, also those still open, to a folder of its own, which a repeated batch
+    replaces.  Lines later than ``lateness`` are not counted.  ``ts`` is an instant (watermarks need one); the query's
+    windows follow UTC.
     """
     counts = (
         lines.filter(F.col("line").contains(mark))
         .withWatermark("ts", lateness)
         .groupBy(F.window("ts", f"{minutes} minutes").alias("w"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            F.col("w.start").alias("window_start"), "n",
-            classify(F.col("n"), warn, crit, inclusive=True).alias("severity"),
-        )
+        .select(F.col("w.start").alias("window_start"), "n")
     )
+
+    def record(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{output}/batch={batch}")
+
     return (
-        counts.writeStream.format("parquet").outputMode("append")
-        .option("path", output)
+        counts.writeStream.outputMode("update")
+        .foreachBatch(record)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def window_counts(spark: SparkSession, output: str, warn: int, crit: int) -> DataFrame:
+    """(window_start, n, severity): the latest count of every window, open ones included."""
+    changes = spark.read.schema("window_start timestamp, n bigint, batch bigint").parquet(output)
+    latest = changes.groupBy("window_start").agg(F.max_by("n", "batch").alias("n"))
+    return latest.withColumn("severity", classify(F.col("n"), warn, crit, inclusive=True))

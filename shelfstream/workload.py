@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -38,6 +39,11 @@ def jobs(spark: SparkSession, folder: str) -> LibraryJobs:
     return LibraryJobs(spark, Testbed(spark, folder), SETTINGS)
 
 
+def _strict(j: LibraryJobs) -> LibraryJobs:
+    """The same jobs with the original's known slips."""
+    return LibraryJobs(j.spark, j.t, replace(j.s, strict_reference=True))
+
+
 QUERIES: dict[str, Callable[[LibraryJobs], DataFrame]] = {}
 
 
@@ -580,6 +586,11 @@ def transactions_union(j):
 
 @query
 def transactions_alltime(j):
+    return _transaction_rows(_strict(j).transactions(historical=True))
+
+
+@query
+def transactions_alltime_corrected(j):
     return _transaction_rows(j.transactions(historical=True))
 
 
@@ -596,6 +607,11 @@ def koha_transactions(j):
 
 @query
 def koha_transactions_alltime(j):
+    return _koha_transaction_rows(_strict(j).koha_transactions(historical=True))
+
+
+@query
+def koha_transactions_alltime_corrected(j):
     return _koha_transaction_rows(j.koha_transactions(historical=True))
 
 
@@ -771,16 +787,16 @@ def stream_service_health(j):
 
 @query
 def stream_window_alert(j):
-    """Windowed counts of a parquet stream; windows the watermark has closed are emitted."""
+    """Windowed counts of a parquet stream, open windows included."""
     source = fresh_path(j.spark, "app-log")
     j.t.app_log.select("ts", "line").repartitionByRange("ts").write.parquet(source)
     lines = j.spark.readStream.schema("ts timestamp_ntz, line string").parquet(source)
     lines = lines.withColumn("ts", F.timestamp_seconds(dates.epoch_seconds(F.col("ts"))))
     out = fresh_path(j.spark, "windows")
     alerts.stream_window_counts(
-        lines, "Returning NULL", 60, 2, 4, "1 hour", out, fresh_path(j.spark, "windows-checkpoint")
+        lines, "Returning NULL", 60, "1 hour", out, fresh_path(j.spark, "windows-checkpoint")
     ).awaitTermination()
-    return j.spark.read.schema("window_start timestamp, n bigint, severity int").parquet(out).select(
+    return alerts.window_counts(j.spark, out, 2, 4).select(
         dates.from_epoch_seconds(F.unix_seconds("window_start")).alias("window_start"), "n", "severity"
     )
 

@@ -58,12 +58,20 @@ def test_deletions_and_status_changes(rows):
     none = rows(CIRC, loan("z", "1999-01-01 00:00:00"))
     daily = transactions.transactions(held, lib["acn"], none, lib["org"], D).collect()
     assert sorted((r.ac_id, r.transaction_type) for r in daily) == [(1, "Lost"), (1, "deleted"), (2, "On Order")]
-    strict = transactions.transactions(held, lib["acn"], none, lib["org"], None, deleted_for_every_copy=True).collect()
+    strict = transactions.transactions(held, lib["acn"], none, lib["org"], None, strict_reference=True).collect()
     assert sum(r.transaction_type == "deleted" for r in strict) == 4
     corrected = transactions.transactions(held, lib["acn"], none, lib["org"], None).collect()
     assert sum(r.transaction_type == "deleted" for r in corrected) == 1
 
 
+def test_open_loans_give_no_check_in(rows):
+    loans = rows(CIRC, loan("a", "2020-03-30 12:00:00"), loan("b", "2020-03-30 12:00:00", checkin="2020-03-30 13:00:00"))
+    corrected = transactions.loan_events(loans, None).collect()
+    assert sorted(r.transaction_type for r in corrected) == ["checkin", "circ", "circ"]
+    strict = transactions.loan_events(loans, None, strict_reference=True).collect()
+    assert sum(r.transaction_type == "checkin" and r.transaction_date is None for r in strict) == 1
+
+
 def test_circ_stats_month_ends_and_history(rows):
     live = rows(CIRC, loan("a", "2020-02-29 10:00:00"), loan("b", "2020-03-01 00:00:00", checkin="2020-03-05 08:00:00"),
                 loan("c", "2020-04-02 00:00:00"), loan("x", "2020-04-02 00:00:00", copy=2))

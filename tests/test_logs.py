@@ -148,3 +148,19 @@ def test_a_file_started_anew_is_read_from_its_beginning():
     reader = log_source.GrowingLogReader("/nowhere", 10)
     blocks = reader.partitions({"files": '{"a": 30, "b": 5}'}, {"files": '{"a": 12, "b": 5, "c": 1}'})
     assert [(b.file, b.start, b.end) for b in blocks] == [("a", 0, 10), ("a", 10, 12), ("c", 0, 1)]
+
+
+def test_streamed_windows_show_while_they_are_open(spark, tmp_path):
+    source, out, mark = (str(tmp_path / name) for name in ("in", "out", "mark"))
+
+    def run(*stamps):
+        new = spark.createDataFrame([(f"2024-01-15 {t}:00Z", "x Returning NULL") for t in stamps] + [("2024-01-15 23:00:00Z", "fine")], "t string, line string")
+        new.select(F.col("t").cast("timestamp").alias("ts"), "line").coalesce(1).write.mode("append").parquet(source)
+        lines = spark.readStream.schema("ts timestamp, line string").parquet(source)
+        alerts.stream_window_counts(lines, "Returning NULL", 60, "1 hour", out, mark).awaitTermination()
+        found = alerts.window_counts(spark, out, 2, 4).select(F.unix_seconds("window_start").alias("s"), "n", "severity").collect()
+        return {(r.s // 3600 % 24): (r.n, r.severity) for r in found}
+
+    assert run("10:01", "10:59") == {10: (2, 1)}
+    assert run("10:30", "11:00") == {10: (3, 1), 11: (1, 0)}
+    assert run("11:10", "10:10", "11:20", "11:59") == {10: (4, 2), 11: (4, 2)}

@@ -13,9 +13,9 @@ import __spark_entry__ as entry_module
 from shelfstream.workload import registered
 
 CHOSEN = [
-    "src_relational", "left_items_circs", "sink_items_csv", "sink_dat_file", "transactions_union", "transactions_alltime", "agg_holds_count",
+    "src_relational", "left_items_circs", "sink_items_csv", "sink_dat_file", "transactions_union", "transactions_alltime", "transactions_alltime_corrected", "agg_holds_count",
     "join_holds_resolve", "agg_orders", "lending_multi_left", "branch_file", "upsert_bibs", "chq_item_rows", "chq_bib_rows",
-    "koha_bibs", "koha_agg_circs", "koha_transactions_alltime", "agg_hold_copy_ratio", "cpu_shares", "date_parts",
+    "koha_bibs", "koha_agg_circs", "koha_transactions_alltime", "koha_transactions_alltime_corrected", "src_log_text", "agg_hold_copy_ratio", "cpu_shares", "date_parts",
     "stream_service_health", "stream_window_alert", "trace_related_lines", "rpt_list_patrons_with_open_transactions",
     "rpt_size_of_collection_report", "rpt_new_purchase_alerts_report", "rpt_list_titles_used_in_house", "rpt_hourly_checkins",
 ]
