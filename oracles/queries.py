@@ -336,7 +336,7 @@ ORACLES: dict[str, str] = {
     "missing_log_warn": """
         SELECT hour, 1 AS severity FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:00:00',
             INTERVAL 1 HOUR)) AS hour)
-        WHERE hour NOT IN (SELECT date_trunc('hour', ts) FROM {service_log} WHERE contains(line, '(svc.error)'))""",
+        WHERE hour NOT IN (SELECT date_trunc('hour', ts) FROM {service_log})""",
     "service_counts": r"""
         SELECT c.service, count(CASE WHEN lower(p.role) = 'listener' THEN 1 END) AS listeners,
                count(CASE WHEN lower(p.role) = 'drone' THEN 1 END) AS drones, c.max_children

@@ -23,8 +23,9 @@ def circ_stats(
     aged_circulation: DataFrame,
     window_date: str,
     until: str | None,
+    copy_ids: DataFrame | None = None,
 ) -> DataFrame:
-    """Loan counts and latest dates per copy.
+    """Loan counts and latest dates per copy, of all copies or of those whose ``id`` is in ``copy_ids``.
 
     Monthly and annual counts run from ``window_date`` minus one month or year
     without an upper bound; the other columns take loans dated before ``until``
@@ -35,6 +36,8 @@ def circ_stats(
     loans = all_circulations(
         *[df.select("id", "target_copy", "xact_start", "due_date", "checkin_time") for df in (circulation, aged_circulation)]
     )
+    if copy_ids is not None:
+        loans = loans.join(copy_ids.select(F.col("id").alias("target_copy")), "target_copy", "left_semi")
     start = F.col("xact_start")
     day = F.lit(window_date).cast("date")
     # date(xact_start) > D - interval: the first instant that counts is one day later

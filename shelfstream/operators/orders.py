@@ -14,8 +14,9 @@ def order_counts(
 ) -> DataFrame:
     """Details of new or on-order lines, ordered by a scoped agency.
 
-    Details are counted per line and branch before they meet the order, so a
-    line with very many details moves as one row per branch.
+    Details of other lines go first; the rest are counted per line and branch
+    before they meet the order, so a line with very many details moves as one
+    row per branch.
     """
     agencies = scope.select("root", F.col("org_id").alias("ordering_agency"))
     orders = purchase_order.join(agencies, "ordering_agency").select("root", F.col("id").alias("purchase_order"))
@@ -24,7 +25,7 @@ def order_counts(
         .join(orders, "purchase_order")
         .select("root", F.col("id").alias("lineitem"), F.col("eg_bib_id").alias("biblio_id"))
     )
-    details = lineitem_detail.groupBy("lineitem", "owning_lib").agg(F.count("id").alias("n"))
+    details = lineitem_detail.join(lines.select("lineitem"), "lineitem", "left_semi").groupBy("lineitem", "owning_lib").agg(F.count("id").alias("n"))
     branches = org_unit.select(F.col("id").alias("owning_lib"), F.col("shortname").alias("branch"))
     return (
         details.join(lines, "lineitem")

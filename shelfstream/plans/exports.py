@@ -81,14 +81,14 @@ class LibraryJobs:
             copies.isbn_text(self.t.simple_record), self.funds(),
         )
 
-    def circ_stats(self, window_date: str, until: str | None) -> DataFrame:
-        return circ.circ_stats(self.t.circulation, self.t.aged_circulation, window_date, until)
+    def circ_stats(self, window_date: str, until: str | None, copy_ids: DataFrame | None = None) -> DataFrame:
+        return circ.circ_stats(self.t.circulation, self.t.aged_circulation, window_date, until, copy_ids)
 
     def items_file(self, historical: bool = False) -> DataFrame:
         """Items with loan statistics; the historical job has no dates and counts all loans three times."""
-        if historical:
-            return circ.items_with_circs(self.items(None), self.circ_stats(HISTORICAL_DATE, None))
-        return circ.items_with_circs(self.items(self.s.run_date), self.circ_stats(self.s.run_date, self.s.run_date))
+        as_of = None if historical else self.s.run_date
+        scoped = self.active_copies(as_of)
+        return circ.items_with_circs(self.items(as_of), self.circ_stats(as_of or HISTORICAL_DATE, as_of, scoped))
 
     def order_counts(self) -> DataFrame:
         t = self.t

@@ -370,10 +370,10 @@ _ACQUISITION_REPORTS = (
             left("rmsr", "bre3.id"), left("acp", "acn2.id", "call_number")),
            (Out("lang", "mrd.item_lang"), Out("call_number", "acn.label"), Out("record_id", "bre.id"),
             *_TITLE_COLUMNS, *_RATIO_COLUMNS),
-           (between("acn.label"), _RATIO_AT_LEAST), fold_leaves=("acp",)),
+           (between("acn.label"), _RATIO_AT_LEAST), fold_chains=(("acp", "acn2"),)),
     Report("rpt_new_popular_titles_on_hold", "NEW Popular Titles on Hold", ACQUISITIONS, "rhcrpb",
            (left("bre", "rhcrpb.id"), left("acn", "bre.id", "record"), left("bre2", "acn.record"), left("rmsr", "bre2.id")),
-           _POPULAR_COLUMNS, (_RATIO_AT_LEAST,)),
+           _POPULAR_COLUMNS, (_RATIO_AT_LEAST,), fold_leaves=("acn",)),
 )
 
 REPORTS: dict[str, Report] = {

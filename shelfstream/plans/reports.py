@@ -58,6 +58,9 @@ class Report:
     filters: tuple[Where, ...]
     # Leaf tables whose rows are counted (or reduced to a maximum) per join key before they are joined.
     fold_leaves: tuple[str, ...] = ()
+    # (leaf, parent): the folded leaf joins its parent first, and the parent keeps one row per joined value.  For
+    # reports whose aggregates are all maxima, where the number of rows that meet a group does not matter.
+    fold_chains: tuple[tuple[str, str], ...] = ()
     # Leaf tables reduced to their distinct rows before they are joined.
     distinct_leaves: tuple[str, ...] = ()
     # Every other join is a look-up by primary key, so no row meets an output group
@@ -189,13 +192,23 @@ def run_report(
         ]
         return df.select(*columns, *extra)
 
-    folded = {report.core} if fold_core else set()
+    def prepare_chain(parent: str, leaf: Join) -> DataFrame:
+        on = F.col(_flat(leaf.left)) == F.col(_flat(f"{leaf.alias}.{leaf.key}"))
+        rows = prepare(parent, False).join(prepare(leaf.alias, True), on, "left")
+        keys = [_flat(f"{parent}.{name}") for name in sorted(needed[parent] - {_split(leaf.left)[1]})]
+        return rows.groupBy(*keys).agg(*[F.max(f"_max_{o.name}").alias(f"_max_{o.name}") for o in aggregated[leaf.alias]])
+
+    leaves = {parent: next(j for j in report.joins if j.alias == leaf) for leaf, parent in report.fold_chains}
+    inside = {join.alias for join in leaves.values()}
+    folded = ({report.core} if fold_core else set()) | inside
     result = prepare(report.core, fold_core)
     for join in report.joins:
+        if join.alias in inside:
+            continue
         leaf = join.alias in report.fold_leaves
         if leaf:
             folded.add(join.alias)
-        right = prepare(join.alias, leaf)
+        right = prepare_chain(join.alias, leaves[join.alias]) if join.alias in leaves else prepare(join.alias, leaf)
         how = "inner" if join.how == "inner" or join.alias in conditions else "left"
         result = result.join(right, F.col(_flat(join.left)) == F.col(_flat(f"{join.alias}.{join.key}")), how)
 

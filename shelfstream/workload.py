@@ -803,8 +803,7 @@ def stream_window_alert(j):
 
 @query
 def missing_log_warn(j):
-    errors = j.t.service_log.filter(F.col("line").contains("(svc.error)"))
-    return logs.missing_hours(errors, "2024-01-01 00:00:00", "2024-01-30 23:00:00")
+    return logs.missing_hours(j.t.service_log, "2024-01-01 00:00:00", "2024-01-30 23:00:00")
 
 
 @query
