@@ -190,7 +190,7 @@ _SERVICE_REPORTS = (
            (left("acp", "aihu.item"), ACN, BRE, RMSR, left("acp2", "acn.id", "call_number")),
            (Out("use_date", "aihu.use_time", part="month_trunc"), Out("title", "rmsr.title"), Out("author", "rmsr.author"),
             Out("isbn", "rmsr.isbn"), Out("barcode", "acp2.barcode"), count("times_used", "aihu.id")),
-           (days("aihu.use_time"), isin("aihu.org_unit"))),
+           (days("aihu.use_time"), isin("aihu.org_unit")), many=("acp2",)),
     Report("rpt_count_in_house_usage_by_library", "Count In House Usage by Library", SERVICES, "aihu",
            (inner("acp", "aihu.item"), inner("aou", "acp.circ_lib")),
            (Out("use_date", "aihu.use_time", part="month_trunc"), count("uses", "aihu.id")),

@@ -61,6 +61,9 @@ class Report:
     # (leaf, parent): the folded leaf joins its parent first, and the parent keeps one row per joined value.  For
     # reports whose aggregates are all maxima, where the number of rows that meet a group does not matter.
     fold_chains: tuple[tuple[str, str], ...] = ()
+    # Left-joined tables with many rows for one key: an inner join, whose sides can both be split at run time, and the
+    # rows without a match.
+    many: tuple[str, ...] = ()
     # Leaf tables reduced to their distinct rows before they are joined.
     distinct_leaves: tuple[str, ...] = ()
     # Every other join is a look-up by primary key, so no row meets an output group
@@ -210,7 +213,13 @@ def run_report(
             folded.add(join.alias)
         right = prepare_chain(join.alias, leaves[join.alias]) if join.alias in leaves else prepare(join.alias, leaf)
         how = "inner" if join.how == "inner" or join.alias in conditions else "left"
-        result = result.join(right, F.col(_flat(join.left)) == F.col(_flat(f"{join.alias}.{join.key}")), how)
+        key = _flat(f"{join.alias}.{join.key}")
+        on = F.col(_flat(join.left)) == F.col(key)
+        if how == "left" and join.alias in report.many:
+            unmatched = result.join(right.select(key).distinct(), on, "left_anti")
+            result = result.join(right, on).unionByName(unmatched, allowMissingColumns=True)
+        else:
+            result = result.join(right, on, how)
 
     def output(out: Out) -> Column:
         value = F.col(_flat(out.source))

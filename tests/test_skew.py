@@ -30,7 +30,7 @@ SPLIT_EVERYTHING = {
 NAMES = [
     "left_items_circs", "transactions_alltime", "agg_holds_count", "agg_orders", "lending_multi_left", "range_after_arrival",
     "sample_delta", "rpt_count_circulations_by_patron_permission_group", "rpt_circulation_statistics_by_patron_address",
-    "rpt_size_of_collection_report", "rpt_new_purchase_alerts_report", "rpt_new_popular_titles_on_hold", "missing_log_warn",
+    "rpt_size_of_collection_report", "rpt_new_purchase_alerts_report", "rpt_new_popular_titles_on_hold", "rpt_list_titles_used_in_house", "missing_log_warn",
 ]
 
 
