@@ -83,21 +83,38 @@ class Model:
     prior: np.ndarray
 
 
-def train(labelled: DataFrame, text: str = "text", lang: str = "lang", max_docs: int = MAX_TRAINING_DOCS) -> Model:
+def quota(sizes: dict[str, int], max_docs: int) -> float:
+    """The number of rows up to which a language is used in full, so that all languages together use ``max_docs``."""
+    room, left = max_docs, len(sizes)
+    for size in sorted(sizes.values()):
+        if size * left > room:
+            return room / left
+        room, left = room - size, left - 1
+    return float(max(sizes.values()))
+
+
+def train(labelled: DataFrame, text: str = "text", lang: str = "lang", max_docs: int = MAX_TRAINING_DOCS, doc_id: str = "doc_id") -> Model:
     """Fit on rows with a text and a language.
 
-    Up to ``max_docs`` rows (in expectation) are used: a hash of the text's length and beginning decides, so the same
-    rows are taken however the table is laid out.  More than ``MAX_LANGUAGES`` languages are refused.
+    Up to ``max_docs`` rows (in expectation) are used: languages of few rows in full, the others up to the same number of
+    rows each.  A hash of the id and of the text's length and beginning decides, so the same rows are taken however the
+    table is laid out, and copies under different ids are sampled one by one.  The prior is that of all rows.  More than
+    ``MAX_LANGUAGES`` languages are refused.
     """
-    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text is not null and lang is not null")
+    rows = labelled.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    rows = rows.filter("text is not null and lang is not null")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
-    share = min(1.0, max_docs / sum(sizes.values()))
-    chosen = rows.filter(F.pmod(F.xxhash64(F.length("text"), F.substring("text", 1, 200)), F.lit(1 << 20)) < F.lit(share * (1 << 20)))
+    most, chosen = quota(sizes, max_docs), rows
+    if cut := {name: most / n for name, n in sizes.items() if n > most}:
+        shares = F.create_map(*[F.lit(x) for pair in cut.items() for x in pair])
+        drawn = F.pmod(F.xxhash64("doc_id", F.length("text"), F.substring("text", 1, 200)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+        chosen = rows.filter(drawn < F.coalesce(F.element_at(shares, F.col("lang")), F.lit(1.0)))
+    chosen = chosen.select("text", "lang")
     number = {name: k for k, name in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

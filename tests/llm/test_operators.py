@@ -181,6 +181,23 @@ def test_language_id(spark, folder):
     assert [zlib.crc32(b"17") % 4 == 2] == [r[0] for r in spark.range(1).select(language_id.held_out(F.lit(17))).collect()]
 
 
+def test_language_id_keeps_rare_languages(spark):
+    """Beyond the sample's bound a language of few rows is learned in full, and copies of a text are drawn one by one."""
+    rows = [(k, f"{k % 1000} " + "der die das " * 3, "de") for k in range(6000)] + [(9000 + k, f"{k} og ikke jeg", "no") for k in range(12)]
+    rows += [(20_000 + k, "le la les " * 3, "fr") for k in range(4000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sizes = {"de": 6000, "no": 12, "fr": 4000}
+    assert language_id.quota(sizes, 600) == 294 and language_id.quota(sizes, 9000) == 4988 and language_id.quota(sizes, 20_000) >= 6000
+    model = language_id.train(table, max_docs=600)
+    alone = language_id.train(table.filter("lang = 'no'"))
+    assert np.array_equal(model.log_prob[:, model.languages.index("no")], alone.log_prob[:, 0])
+    # The share of a text's copies shows in the least probability: smoothing over the counted n-grams of about 294 rows.
+    rows_used = ((0.1 / np.exp(model.log_prob[:, model.languages.index("fr")].min().astype(float))) - 0.1 * language_id.BUCKETS) / (29 + 28)
+    assert 200 < rows_used < 400
+    got = language_id.predict(spark.createDataFrame([(1, "jeg ikke og")], "doc_id long, text string"), model).first()
+    assert got["prediction"]["lang_pred"] == "no" and np.allclose(np.exp(model.prior).sum(), 1)
+
+
 def test_language_id_learns_nothing(spark, nothing):
     model = language_id.train(nothing.withColumn("lang", F.lit("en")))
     row = language_id.predict(spark.createDataFrame([(1, "abc")], "doc_id long, text string"), model).select("prediction.*").first()
