@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+ANCHOR = re.compile(r"<(/?)a(?=[\s/>])", re.IGNORECASE)
 ATTRIBUTE = re.compile(r"([A-Za-z_:-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 #: Elements whose content is no text of the page.
 RAW = set("script style noscript template textarea title svg iframe object select option button canvas head".split())
@@ -36,6 +37,9 @@ OUTSIDE_WORDS = set(
     "breadcrumbs sidebar side widget footer header masthead comment comments commentlist disqus reply replies respond related "
     "recommended share sharing social login search hidden toolbar pagination pager tags skip legal copyright".split()
 )
+#: Parts of a class name that only say what an element has beside it, and parts whose header is a headline.
+BESIDE_WORDS = set("has no not non with without".split())
+HEADLINE_OF = set("entry post article story content section".split())
 OUTSIDE_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
 #: The labelled table: pages of blocks in order; a block is (place, heading, words, linked words, content or not).
@@ -71,20 +75,46 @@ class Block:
     linked: int
 
 
-def _outside(tag: str, attributes: str) -> bool:
-    if tag in OUTSIDE_TAGS:
-        return True
-    if not attributes or attributes.isspace():
-        return False
+#: How an element stands outside: by a part of its name or as a form, so that an article or main element
+#: inside may be the page's; or for certain.
+BY_NAME, CERTAIN = 1, 2
+ARTICLE_IN_NAMED = 2  # a place until the page's end: inside the article if the page has no other, outside otherwise
+NAMED = -2  # the place inside an element that is outside by its name only
+
+
+def _by_name(value: str, in_article: bool) -> int:
+    """What the words of a class or id say: a whole name is certain, a part of one is a hint."""
+    found = 0
+    for name in value.split():
+        parts = [p for p in re.split(r"[^a-z0-9]+", name) if p]
+        words = OUTSIDE_WORDS.intersection(parts)
+        if words and (in_article or not HEADLINE_OF.isdisjoint(parts)):
+            words -= {"header"}
+        if words and BESIDE_WORDS.isdisjoint(parts):
+            found = max(found, CERTAIN if len(parts) == 1 else BY_NAME)
+    return found
+
+
+def _outside(tag: str, attributes: str, in_article: bool = False) -> int:
+    found = 0 if tag not in OUTSIDE_TAGS else BY_NAME if tag == "form" else CERTAIN
+    if found == CERTAIN or not attributes or attributes.isspace():
+        return found
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (values[0] or values[1] or values[2]).lower()
-        if name in ("class", "id") and not OUTSIDE_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
+        if name in ("class", "id"):
+            found = max(found, _by_name(value, in_article))
         if name == "role" and value in OUTSIDE_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return CERTAIN
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return CERTAIN
+    return found
+
+
+def _opens_link(attributes: str) -> bool:
+    """An anchor with a target that is not closed at once; a slash may also end a bare target."""
+    if attributes.endswith("/") and not re.search(r"=\s*[^\s\"'>]+/\Z", attributes):
+        return False
+    return any(name.lower() == "href" for name, *_ in ATTRIBUTE.findall(attributes))
 
 
 def blocks_of(html: str) -> list[Block]:
@@ -93,6 +123,7 @@ def blocks_of(html: str) -> list[Block]:
     stack: list[tuple[str, int]] = []  # open containers with the place inside them
     parts: list[tuple[str, bool]] = []
     heading, own, in_link = 0, False, False  # own: the block's own tag stands outside the article
+    unclosed = False  # the open link has no end of its own, so it ends with its block
 
     def flush() -> None:
         words = linked = 0
@@ -124,12 +155,15 @@ def blocks_of(html: str) -> list[Block]:
                 at = end.end() if end else size if tag in ("script", "style") else at
             continue
         if tag == "a":
-            in_link = not closing
+            in_link = not closing and _opens_link(attributes)
+            following = ANCHOR.search(html, at) if in_link else None
+            unclosed = in_link and not (following and following[1])
         if tag == "br":
             parts.append((" ", False))
         if tag not in BLOCKS:
             continue
         flush()
+        in_link = in_link and not unclosed
         heading, own = int(tag in HEADINGS and not closing), False
         if tag in CONTAINERS:
             if closing:
@@ -138,14 +172,20 @@ def blocks_of(html: str) -> list[Block]:
                     del stack[depth:]
             elif not attributes.endswith("/"):
                 place = stack[-1][1] if stack else 0
-                if place == -1 or tag not in ("html", "body") and _outside(tag, attributes) or tag == "header" and place == 0:
+                marked = 0 if tag in ("html", "body") else _outside(tag, attributes, place > 0)
+                if place == -1 or marked == CERTAIN or tag == "header" and place == 0:
                     place = -1
+                elif marked:
+                    place = NAMED
                 elif tag in ("article", "main"):
-                    place = 1
+                    place = 1 if place in (0, 1) else ARTICLE_IN_NAMED
                 stack.append((tag, place))
         elif not closing:
-            own = _outside(tag, attributes)
+            own = bool(_outside(tag, attributes, bool(stack) and stack[-1][1] > 0))
     flush()
+    found = any(b.place == 1 for b in out)
+    for block in out:
+        block.place = -1 if block.place == NAMED else block.place if block.place != ARTICLE_IN_NAMED else -1 if found else 1
     return out
 
 

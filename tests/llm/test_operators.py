@@ -277,6 +277,42 @@ def test_html_extraction(spark):
     assert got[2] == got[3] == got[4] == ""
 
 
+PARAGRAPHS = ["The first paragraph is long enough to be the text of a page and has no link in it at all.",
+              "The second one goes on about the same matter, and is as long as the first one was before it.",
+              "A third one ends the article, which is no longer than it has to be to be seen as one here."]
+BODY = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+FRAME = '<html><body><nav><a href="/">Home</a></nav>{}<footer>All rights kept by us since the start</footer></body></html>'
+
+
+@pytest.mark.parametrize("page", [
+    f'<div class="has-sidebar"><article><h1>Head line</h1>{BODY}</article></div>',
+    f'<div class="page no-sidebar"><h1>Head line</h1>{BODY}</div>',
+    f'<div class="content-with-header"><main><h1>Head line</h1>{BODY}</main></div>',
+    f'<div class="layout-sidebar-left"><article><h1>Head line</h1>{BODY}</article></div>',
+    f'<form id="form1"><main><h1>Head line</h1>{BODY}</main></form>',
+    f'<article><header class="entry-header"><h1>Head line</h1></header>{BODY}</article>',
+    f'<article><a name="s1"/><h1>Head line</h1><a id="x">{BODY}</article>',
+    '<article><h1>Head line</h1>' + BODY.replace("</p>", ' <a href="/p"></p>', 1) + "</article>",
+    f'<article><h1>Head line</h1><a href="/p"/>{BODY}</article>',
+])
+def test_html_wrappers_and_anchors(page):
+    """Names of a wrapper do not hide the article, headlines stay, and only links with a target count."""
+    found = html_text.main_text(FRAME.format(page), html_text.trained()).split("\n")
+    assert found == ["Head line", *PARAGRAPHS]
+
+
+@pytest.mark.parametrize("page", [
+    f'<article><h1>Head line</h1>{BODY}</article><div class="related-posts"><article>{BODY}</article></div>',
+    f'<article><h1>Head line</h1>{BODY}</article><div class="site-footer">{BODY}</div>',
+    f'<article><h1>Head line</h1>{BODY}<aside class="ad"><article>{BODY}</article></aside></article>',
+    f'<article><h1>Head line</h1>{BODY}</article><div class="comments"><article>{BODY}</article></div>',
+    f'<article><h1>Head line</h1>{BODY}<a href=/p/><div>A card as one link</div></a></article>',
+])
+def test_html_outside_stays_outside(page):
+    found = html_text.main_text(FRAME.format(page), html_text.trained()).split("\n")
+    assert found == ["Head line", *PARAGRAPHS]
+
+
 def test_decision_tree_on_its_table():
     tree = html_text.trained()
     for page in html_text.LABELLED:
