@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfstream.llm import (
-    exact_dedup, html_text, language_id, neighbours, packing, pieces, simhash, substring_dedup, suffix_dedup, wavelet,
+    alignment, exact_dedup, html_text, language_id, neighbours, packing, periodic_runs, pieces, simhash, sketches, substring_dedup,
+    suffix_dedup, wavelet,
 )
 
 
@@ -69,6 +70,37 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "pieces.n_tokens", "pieces.ids_sha256", F.sha2("pieces.decoded", 256).alias("decoded_sha256"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    words = docs.withColumn("h", F.crc32(F.col("doc_id").cast("string").cast("binary"))).withColumn("w", F.expr(r"""
+        CASE WHEN h % 10 = 0 THEN regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0) END"""))
+    # From word a on, the p words there are repeated to the end.
+    cut = (
+        words.withColumn("g", F.expr("h DIV 10")).withColumn("n", F.size("w")).withColumn("a", F.expr("CAST(IF(n > 0, g % n, 0) AS INT)"))
+        .withColumn("p", F.expr("CAST(1 + (n - a) DIV (3 + g % 8) AS INT)"))
+    )
+    echo = "array_join(slice(concat(slice(w, 1, a), flatten(array_repeat(slice(w, a + 1, p), CAST(ceil((n - a) / p) AS INT)))), 1, n), ' ')"
+    echoed = cut.select("doc_id", F.expr(f"IF(n > 0, {echo}, text)").alias("text"))
+    found = echoed.select("doc_id", periodic_runs.periodic_runs(F.col("text")).alias("f"))
+    most = """array_sort(f.runs, (x, y) -> CASE
+        WHEN x.length * y.period <> y.length * x.period THEN IF(x.length * y.period > y.length * x.period, -1, 1)
+        WHEN x.start <> y.start THEN IF(x.start < y.start, -1, 1) ELSE CAST(sign(x.period - y.period) AS INT) END)"""
+    return found.withColumn("best", F.expr(f"get({most}, 0)")).select(
+        "doc_id", F.size("f.runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 DIV best.period").alias("exponent_milli"),
+        F.expr("sha2(array_join(transform(f.runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), ''), 256)").alias("runs_sha256"),
+        F.sha2(F.col("f.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.compare_in_order(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,7 +111,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_nearest_neighbours, op3_exact_dedup, op4_token_files, op5_best_fit_packing, op6_simhash_dedup,
-        op7_language_id, op8_substring_dedup, op9_html_text, op10_sentencepiece, pipeline,
+        op7_language_id, op8_substring_dedup, op9_html_text, op10_sentencepiece, op11_alignment, op12_periodic_runs, op13_fingerprints,
+        pipeline,
     )
 }
 
