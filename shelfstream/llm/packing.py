@@ -5,7 +5,7 @@ does, a bin is opened.  A sequence of length c costs c * (1 + c / QUADRATIC): a
 Opening sizes are judged jointly: each permitted length is tried as the least size to open, every bin is finally downsized
 to the cheapest length that holds its contents, and the plan of least total cost is kept.
 
-Pieces are dealt to shards of bounded size by a hash, and each shard is packed by one task; a shard loses at most one badly
+Pieces are dealt to shards of bounded size by a hash, rows that repeat an id and a length included, and each shard is packed by one task; a shard loses at most one badly
 filled bin of each size against packing all at once.
 """
 
@@ -65,6 +65,7 @@ def pack_documents(lengths: DataFrame, capacities: tuple[int, ...] = CAPACITIES,
     largest = max(capacities)
     pieces = (
         lengths.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("n_tokens").cast("long").alias("whole")).filter("whole > 0")
+        .withColumn("salt", F.monotonically_increasing_id())  # deals repeated rows to all shards
         .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("whole") - 1) / largest).cast("long"))))
         .withColumn("piece_start", F.col("piece") * largest)
         .withColumn("n_tokens", F.least(F.lit(largest).cast("long"), F.col("whole") - F.col("piece_start")))
@@ -77,7 +78,7 @@ def pack_documents(lengths: DataFrame, capacities: tuple[int, ...] = CAPACITIES,
         return rows[["doc_id", "piece", "piece_start", "n_tokens", "shard", "bin", "capacity", "bin_start"]]
 
     dealt = pieces.select(
-        "doc_id", "piece", "piece_start", "n_tokens", F.pmod(F.xxhash64("doc_id", "piece", "whole"), F.lit(shards)).cast("long").alias("shard")
+        "doc_id", "piece", "piece_start", "n_tokens", F.pmod(F.xxhash64("doc_id", "piece", "whole", "salt"), F.lit(shards)).cast("long").alias("shard")
     )
     return dealt.groupBy("shard").applyInPandas(pack_shard, SCHEMA)
 

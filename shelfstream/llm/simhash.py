@@ -11,14 +11,14 @@ distance is exact, so everything filed under one point is linked to its smallest
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfstream.llm.components import components
-from shelfstream.session import materialize
+from shelfstream.session import materialize, materialize_counted
 
 SHINGLE = 3
 SEED = 42
@@ -49,15 +49,18 @@ def _fingerprint(text: str | None, shingle: int) -> int:
     return int(bits.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the signed 64-bit fingerprint of every row; no words give zero."""
-
+def _fingerprint_column(shingle: int) -> Callable[[Column], Column]:
     @F.pandas_udf("long")
     def fingerprint(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series([_fingerprint(t, shingle) for t in batch], dtype="int64")
 
-    return docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text)).alias("fp"))
+    return fingerprint
+
+
+def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, fp): the signed 64-bit fingerprint of every row; no words give zero."""
+    return docs.select(F.col(doc_id).alias("doc_id"), _fingerprint_column(shingle)(F.col(text)).alias("fp"))
 
 
 def _points() -> str:
@@ -107,3 +110,34 @@ def simhash_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
     )
+
+
+def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each group of linked fingerprints one row stays, whole.
+
+    It is the row with the smallest id, null ids last, then with the smallest SHA-256 of its text; a row that repeats
+    under one id and text stays once.  Ids may so repeat or be null: rows are told apart by id and text.  Null texts count
+    as empty, and texts without words are one group.
+    """
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), digest.alias("sha"))
+    prints = materialize(rows.select("doc_id", "sha", _fingerprint_column(shingle)(F.col("text")).alias("fp")), "fingerprints")
+    nodes = materialize(prints.select("fp", F.col("fp").alias("id")).distinct(), "nodes")
+    roots = components(links(nodes))
+    rooted = prints.join(roots.hint("merge"), prints["fp"] == roots["node"], "left").withColumn("group", F.coalesce("root", "fp"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.col("sha").alias("kept_sha"))
+    kept = rooted.groupBy("group").agg(F.min(order).alias("k"), F.count(F.lit(1)).alias("n"))
+    # Only the groups of several rows have anything to drop.
+    several = rooted.join(kept.filter("n > 1").hint("merge"), "group").select("doc_id", "sha", "k")
+    stays = F.col("doc_id").eqNullSafe(F.col("k.id")) & (F.col("sha") == F.col("k.kept_sha"))
+    marks = materialize(several.groupBy("doc_id", "sha").agg(F.first(stays).alias("stays"), F.count(F.lit(1)).alias("times")), "marks")
+    dropped = marks.filter("not stays").select(F.col("doc_id").alias("_gone_id"), F.col("sha").alias("_gone_sha"))
+    twice = marks.filter("stays AND times > 1").select(F.col("doc_id").alias("_gone_id"), F.col("sha").alias("_gone_sha"))
+    twice, repeated = materialize_counted(twice, "repeats")
+    own = docs.withColumn("_own_sha", digest)
+    same = F.col(doc_id).eqNullSafe(F.col("_gone_id")) & (F.col("_own_sha") == F.col("_gone_sha"))
+    left = own.join(dropped.hint("merge"), same, "left_anti")
+    if repeated:
+        once = left.join(twice.hint("merge"), same, "left_semi").dropDuplicates([doc_id, "_own_sha"])
+        left = left.join(twice.hint("merge"), same, "left_anti").unionByName(once)
+    return left.drop("_own_sha")

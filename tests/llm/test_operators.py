@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -346,3 +347,11 @@ def test_packing(spark, nothing):
 def test_packing_fits_best():
     bins, starts, capacity = packing.pack(np.array([600, 500, 400, 300, 200]), (1000,))
     assert bins.tolist() == [0, 1, 0, 1, 1] and starts.tolist() == [0, 0, 600, 500, 800] and set(capacity.tolist()) == {1000}
+
+
+def test_packing_splits_repeated_rows(spark):
+    """Rows of one id and length, null ids included, are dealt to all shards."""
+    rows = spark.createDataFrame([(7, 900)] * 600 + [(None, 500)] * 400, "doc_id long, n_tokens long").repartition(4)
+    got = packing.pack_documents(rows, shard_pieces=100).collect()
+    assert len(got) == 1000 and max(Counter(r["shard"] for r in got).values()) < 200
+    assert packing.pack_documents(rows.withColumn("salt", F.lit("x")).withColumn("shard", F.lit(1))).count() == 1000

@@ -1,6 +1,7 @@
 """The stages of the pipeline, each on its own input."""
 
 import random
+from collections import Counter
 
 import pytest
 
@@ -50,40 +51,43 @@ def test_run(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() > 0
 
 
-def shingles(text):
-    words = text.lower().split()
-    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+def bits(text):
+    """The fingerprint of the near-duplicate stage, by the definition."""
+    from xxhash import xxh64_intdigest
 
+    words = text.encode().lower().split()
+    found = [xxh64_intdigest(b" ".join(words[k : k + 3]), 42) for k in range(max(1, len(words) - 2))] if words else []
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in found) > len(found))
 
-def similarity(a, b):
-    return len(a & b) / len(a | b) if a | b else 1.0
 
-
-def least_of_groups(texts):
-    """The places of the texts that stay when every pair is looked at; a group keeps its first."""
-    sets, group = [shingles(t) for t in texts], list(range(len(texts)))
-    for k, own in enumerate(sets):
+def least_of_groups(prints):
+    """The places that stay when every pair is looked at; a group keeps its first."""
+    group = list(range(len(prints)))
+    for k, own in enumerate(prints):
         for j in range(k):
-            if group[k] != group[j] and similarity(own, sets[j]) >= 0.8:
+            if group[k] != group[j] and (own ^ prints[j]).bit_count() <= 2:
                 low, high = sorted((group[k], group[j]))
                 group = [low if g == high else g for g in group]
     return {k for k, g in enumerate(group) if k == g}
 
 
 def planted():
-    """Texts with copies of one to several changed words, some under and some over the limit, a crowd of copies, and clean texts."""
+    """Texts with copies of one to several changed words, a crowd of copies, equal texts, and clean texts."""
     rnd = random.Random(11)
     word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 7)))
-    base = [[word() for _ in range(rnd.randint(60, 400))] for _ in range(60)]
+    base = [[word() for _ in range(rnd.randint(60, 900))] for _ in range(40)]
     out = [list(b) for b in base]
-    for b in base[:40]:
-        for share in (0.004, 0.012, 0.02, 0.035, 0.06):
-            out.append([word() if rnd.random() < share else w for w in b])
-    for _ in range(60):  # more than one key's documents that are all compared
-        copy = list(base[50])
+    for b in base[:30]:
+        for changes in (0, 1, 1, 2, 8):
+            copy = list(b)
+            for _ in range(changes):
+                copy[rnd.randrange(len(copy))] = word()
+            out.append(copy)
+    for _ in range(150):
+        copy = list(base[35]) * 4
         copy[rnd.randrange(len(copy))] = word()
         out.append(copy)
-    out += [["a", "b"], ["A", "b"], ["a"], ["%"]]
+    out += [["a", "b"], ["A", "b"], ["a"], ["%"], [], [" "]]
     return [" ".join(words) for words in out]
 
 
@@ -92,20 +96,55 @@ def test_near_copies_against_all_pairs(spark, folder):
     schema = spark.read.parquet(f"{folder}/documents.parquet").schema
     docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], schema).repartition(3)
     kept = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, folder).collect()}
-    pairs = [similarity(shingles(texts[k]), shingles(texts[60 + 5 * k + j])) for k in range(40) for j in range(5)]
-    assert sum(0.8 <= s < 1 for s in pairs) > 40 and sum(0.5 < s < 0.8 for s in pairs) > 20
-    assert kept == least_of_groups(texts)
+    want = least_of_groups([bits(t) for t in texts])
+    assert kept == want and 60 < len(want) < len(texts) - 80
+    assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), folder).count() == 0
 
 
 def test_near_copies_of_repeated_and_null_ids(spark, folder):
     """A near copy takes no other row of its id with it, and goes under the same or a null id as well."""
     schema = spark.read.parquet(f"{folder}/documents.parquet").schema
     one, two, three = (" ".join(f"{name}{k}" for k in range(100)) for name in ("one", "two", "three"))
-    rows = [(1, one), (5, f"{one} more"), (5, two), (None, f"{two} more"), (None, three), (None, f"{three} more"), (7, "apart"), (7, "apart")]
-    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], schema)
+    near = lambda t: t.upper()  # noqa: E731  the same words to the fingerprint
+    rows = [(1, one), (5, near(one)), (5, two), (None, near(two)), (None, three), (None, near(three)), (7, "apart"), (7, "apart"), (8, None), (9, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows], schema)
     kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, folder).collect()]
-    third = [r for r in kept if r[1].startswith("three")]
+    third = [r for r in kept if (r[1] or "").lower().startswith("three")]
     assert len(third) == 1 and third[0] in rows
-    assert sorted(set(kept) - set(third), key=str) == sorted([(1, one), (5, two), (7, "apart")], key=str)
-    same = spark.createDataFrame([(3, one, "en", "s", 0), (3, f"{one} more", "en", "s", 0)], schema)
+    assert sorted([r for r in kept if r not in third], key=str) == sorted([(1, one), (5, two), (7, "apart"), (8, None)], key=str)
+    same = spark.createDataFrame([(3, one, "en", "s", 0), (3, near(one), "en", "s", 0)], schema)
     assert corpus_pipeline.drop_near_copies(spark, same, folder).count() == 1
+
+
+def test_keep_one_carries_any_columns(spark):
+    from shelfstream.llm import simhash
+
+    rows = [(1, "a b c", "p", 1, 2), (2, "a B c", "q", 3, 4), (3, "other", "r", 5, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, sha string, fp int, id int")
+    assert sorted(tuple(r) for r in simhash.keep_one(docs).collect()) == [rows[0], rows[2]]
+
+
+def test_repeated_passages_against_all_strings(spark, folder):
+    """Passages of 51 words, most of them under 400 bytes, are cut wherever they stand; clean documents stay as they are."""
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    passages = [prose(51) for _ in range(12)]
+    assert sum(200 <= len(p) < 400 for p in passages) > 8
+    texts = [f"{prose(30)} {p} {prose(20)}" for p in passages for _ in range(2)] + [prose(200) for _ in range(10)] + [None, "", "é" * 150]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in enumerate(texts)], spark.read.parquet(f"{folder}/documents.parquet").schema)
+    got = {r["doc_id"]: r for r in corpus_pipeline.remove_repeated_passages(spark, docs, folder).collect()}
+    data, size = [(t or "").encode() for t in texts], corpus_pipeline.PASSAGE_BYTES
+    times = Counter(b[i : i + size] for b in data for i in range(len(b) - size + 1))
+    for k, b in enumerate(data):
+        gone = {j for i in range(len(b) - size + 1) if times[b[i : i + size]] > 1 for j in range(i, i + size)}
+        rest = bytes(c for j, c in enumerate(b) if j not in gone).decode("utf-8", "ignore")
+        assert (got[k]["text"] or "") == rest and (got[k]["n_chars"] or 0) == len(rest)
+        assert k >= 24 or passages[k // 2] not in rest
+        assert k < 24 or k == 36 or rest == (texts[k] or "")
+
+
+def test_empty_tables(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, folder).count() == 0
