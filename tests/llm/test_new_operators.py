@@ -113,15 +113,19 @@ def test_lanes_give_the_links_of_whole_documents(monkeypatch):
     assert results[0] == results[1]
 
 
-def test_odd_chunks_are_encoded_like_whole_texts():
+@pytest.mark.parametrize("ranked", [True, False])
+def test_odd_chunks_are_encoded_like_whole_texts(ranked):
     both = alignment.TokenPair(BYTE, PIECE)
+    assert both.a.ranked is not None
+    if not ranked:
+        both.a.ranked = None
     signs = ["a", "é", " ", " ", "\n", "\t", " ", " ", "\x85", "\x1c", "'s", "1", ".", "日", "the", "\x0b"]
     made = ["".join(rnd.choice(signs) for _ in range(rnd.randint(1, 25))) for _ in range(1500)]
     a, b, n_a, n_b = both.encode(pa.array(made))
     cuts_a, cuts_b = np.cumsum(n_a), np.cumsum(n_b)
     for k, t in enumerate(made):
-        assert a[cuts_a[k] - n_a[k] : cuts_a[k]].tolist() == both.a.encode(" " + t, add_special_tokens=False).ids, repr(t)
-        assert b[cuts_b[k] - n_b[k] : cuts_b[k]].tolist() == both.b.library.encode(t), repr(t)
+        assert a[cuts_a[k] - n_a[k] : cuts_a[k]].tolist() == both.a.library.encode(" " + t, add_special_tokens=False).ids, repr(t)
+        assert b[cuts_b[k] - n_b[k] : cuts_b[k]].tolist() == both.b.encode(t), repr(t)
 
 
 # ---- periodic runs ------------------------------------------------------------------
