@@ -23,10 +23,10 @@ from shelfstream.session import fresh_path
 
 PACK_BYTES = 4 << 20
 RANGE_KEYS = 1 << 21  # names that one task sorts at a time, about
-HASH_BLOCK = 1 << 20
+HASH_BLOCK = 1 << 16
 PACK_SCHEMA = "pack long, docs array<long>, lengths array<long>, data binary"
 ARROW_PACK = pa.schema([("pack", pa.int64()), ("docs", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("data", pa.large_binary())])
-_BASE, _SEED = 0x9E3779B97F4A7C15, 20240501
+_KEY, _LEFT, _RIGHT = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 @cache
@@ -58,48 +58,52 @@ def mix(keys: np.ndarray) -> np.ndarray:
     return keys ^ (keys >> np.uint64(31))
 
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Names of pairs of names.  Names go through :func:`mix` at every step, so no sum of them can be steered."""
+    return mix(left * _LEFT + right * _RIGHT)
 
 
-def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    have = _powers.get(0)
-    if have is None or len(have[0]) < size:
-        inverse = pow(_BASE, -1, 1 << 64)
-        have = tuple(np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size, x, np.uint64)))) for x in (_BASE, inverse))
-        _powers[0] = have
-    return have
+def window_names(names: np.ndarray, width: int, starts: np.ndarray, length: int) -> np.ndarray:
+    """Names of the windows of ``length`` units at ``starts``, from the names of ``width`` units at every position."""
+    while 2 * width <= length:
+        names, width = joined(names[:-width], names[width:]), 2 * width
+    return joined(names[starts], names[starts + length - width]) if width < length else names[starts]
 
 
-def running(values: np.ndarray) -> np.ndarray:
-    """Prefix sums of value * base**position; the input of :func:`window_keys`."""
-    power, _ = _tables(len(values))
-    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * power[: len(values)])))
-
-
-def window_keys(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray | int) -> np.ndarray:
-    """Keys of the windows [start, end): equal content, equal key."""
-    _, inverse = _tables(len(prefix))
-    return mix((prefix[ends] - prefix[starts]) * inverse[starts])
-
-
-_byte_values = np.random.default_rng(_SEED).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes at every position as one number, zeros behind the end."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray((len(data),), "<u8", padded, strides=(1,)).copy()
 
 
 def byte_keys(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """Keys of windows of bytes at ascending starts; works in blocks, so memory stays bounded for long texts."""
     out = np.empty(len(starts), np.uint64)
+    mask = np.uint64((1 << 8 * min(length, 8)) - 1)
     at = 0
     while at < len(starts):
         first = int(starts[at])
         stop = int(np.searchsorted(starts, first + HASH_BLOCK))
-        own = starts[at:stop] - first
-        prefix = running(_byte_values[data[first : int(starts[stop - 1]) + length]])
-        out[at:stop] = window_keys(prefix, own, own + length)
+        block = eight_bytes(data[first : int(starts[stop - 1]) + length])
+        out[at:stop] = window_names(mix((block & mask) + _KEY), min(length, 8), starts[at:stop] - first, length)
         at = stop
     return out
 
 
+def word_keys(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Keys of the words [first, last), eight bytes at a time."""
+    eight = eight_bytes(data)
+    keys = mix((last - first).astype(np.uint64) + _KEY)
+    at, going = first.copy(), np.arange(len(first))
+    while len(going):
+        left = last[going] - at[going]
+        mask = np.uint64((1 << 64) - 1) >> (np.uint64(64) - np.uint64(8) * np.minimum(left, 8).astype(np.uint64))
+        keys[going] = joined(keys[going], mix(eight[at[going]] & mask))
+        at[going] += 8
+        going = going[left > 8]
+    return keys
+
+
 # ---- packs --------------------------------------------------------------------
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished jobs.

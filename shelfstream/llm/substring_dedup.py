@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from shelfstream.llm.repeats import (
-    _byte_values, Pack, answered, covered_runs, difference_cover, discard, read_answers, rows_of, running, window_keys, write_packs,
+    Pack, answered, covered_runs, difference_cover, discard, read_answers, rows_of, window_names, word_keys, write_packs,
 )
 from shelfstream.session import fresh_path
 
@@ -36,7 +36,7 @@ def _cover(window: int) -> tuple[int, tuple[int, ...]]:
 
 
 class Words:
-    """The words of a pack: byte spans, owning document, end of the document's words, and prefix sums of word names."""
+    """The words of a pack: byte spans, owning document, end of the document's words, and word names."""
 
     def __init__(self, pack: Pack):
         data = pack.data
@@ -50,13 +50,12 @@ class Words:
         self.owner = np.searchsorted(pack.ends, self.first, side="right")
         self.ends = np.searchsorted(self.owner, np.arange(len(pack.docs)), side="right")
         self.until = self.ends[self.owner]
-        prefix = running(_byte_values[data])
-        self.prefix = running(window_keys(prefix, self.first, self.last) | np.uint64(1))
+        self.keys = word_keys(data, self.first, self.last)
         ids = np.array([NO_ID if d is None else d for d in pack.docs], np.int64)
         self.ids = ids[self.owner]
 
     def names(self, at: np.ndarray, length: int) -> np.ndarray:
-        return window_keys(self.prefix, at, at + length)
+        return window_names(self.keys, 1, at, length) if len(at) else np.empty(0, np.uint64)
 
 
 def _smallest(names: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -125,7 +124,7 @@ def remove_repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "
         bounds = np.array(row["region"], np.int64).reshape(-1, 2)
         return np.concatenate([np.empty(0, np.int64), *[np.arange(a, b) for a, b in bounds]]).astype(np.int64)
 
-    def window_names(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    def repeated_names(row: dict) -> tuple[np.ndarray, np.ndarray]:
         at = starts_of(row)
         if not len(at):
             return np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -156,4 +155,4 @@ def remove_repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "
     arrow_result = pa.schema([
         ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string()),
     ])
-    return answered(found, window_names, windows).mapInArrow(cut, RESULT)
+    return answered(found, repeated_names, windows).mapInArrow(cut, RESULT)

@@ -355,3 +355,33 @@ def test_packing_splits_repeated_rows(spark):
     got = packing.pack_documents(rows, shard_pieces=100).collect()
     assert len(got) == 1000 and max(Counter(r["shard"] for r in got).values()) < 200
     assert packing.pack_documents(rows.withColumn("salt", F.lit("x")).withColumn("shard", F.lit(1))).count() == 1000
+
+
+def thue_morse(letters):
+    return "".join(letters[bin(k).count("1") % 2] for k in range(128))
+
+
+def test_texts_that_steer_sums_of_powers(spark):
+    """Two strings of one polynomial modulo 2^64 for every odd base: no string of 400 bytes and no window of words repeats."""
+    one, two = (thue_morse("ab"[::d]) + thue_morse("cd"[::d]) + thue_morse("ef"[::d]) + "x" * 16 for d in (1, -1))
+    assert one != two and len(one) == 400
+    rows = spark.createDataFrame(list(enumerate([one, two, one[5:395], two[5:395]])), "doc_id long, text string")
+    untouched, cut = suffix_dedup.remove_repeats(rows)
+    assert {r["doc_id"]: r["n_removed"] for r in untouched.unionByName(cut).collect()} == {0: 0, 1: 0, 2: 0, 3: 0}
+    spaced = rows.withColumn("text", F.regexp_replace("text", "(.)", "$1 "))
+    assert {r["n_removed"] for r in substring_dedup.remove_repeated_windows(spaced, window=400).collect()} == {0}
+    long_words = spark.createDataFrame([(k, " ".join([t] * 50)) for k, t in enumerate([one, two])], rows.schema)
+    assert {r["n_removed"] for r in substring_dedup.remove_repeated_windows(long_words).collect()} == {0}
+
+
+def test_names_depend_on_the_content_alone():
+    data = np.frombuffer(b"abcabcabd" * 40 + b"the words the word them", np.uint8)
+    for length in (3, 7, 8, 9, 16, 31, 133):
+        starts = np.arange(len(data) - length + 1)
+        keys, seen = repeats.byte_keys(data, starts, length), {}
+        for s, k in zip(starts.tolist(), keys.tolist()):
+            assert seen.setdefault(bytes(data[s : s + length]), k) == k
+        assert len(set(seen.values())) == len(seen)
+    first, last = np.array([0, 3, 6, 0, 9, 360, 370]), np.array([3, 6, 9, 20, 29, 363, 373])
+    keys = repeats.word_keys(data, first, last).tolist()
+    assert keys[0] == keys[1] != keys[2] and keys[3] == keys[4] and keys[5] == keys[6] and len(set(keys)) == 4
