@@ -34,6 +34,8 @@ HEADLINE = [
     "chq_bib_rows",
     "sample_delta",
     "koha_agg_circs",
+    "trace_related_lines",
+    "agg_circs_incremental",
 ]
 
 

@@ -12,6 +12,10 @@ ITEM_HEADER = (
 )
 
 
+def unit_files(header: str, body: str) -> str:
+    return f"SELECT DISTINCT root, '{header}' AS line FROM {{scope}} UNION ALL {body}"
+
+
 def with_header(header: str, body: str) -> str:
     return f"SELECT '{header}' AS line UNION ALL {body}"
 
@@ -116,22 +120,22 @@ ORACLES: dict[str, str] = {
     "src_relational": "SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders",
     "src_log_text": "SELECT date_trunc('hour', ts) AS hour, count(*) AS lines FROM {service_log} GROUP BY 1",
     "sink_csv_protect": f"SELECT id, {csv('title')} AS title_field, {csv('author', trim=False)} AS author_field FROM {{simple_record}}",
-    "sink_items_csv": with_header(ITEM_HEADER, f"SELECT {ITEM_CELLS} FROM {{items_file}}"),
-    "sink_orders_csv": with_header(
-        HOLD_HEADER, f"SELECT {line(raw('biblio_id'), raw('order_count'), csv('branch'))} FROM {{order_counts}}"),
-    "sink_circs_csv": with_header(
+    "sink_items_csv": unit_files(ITEM_HEADER, f"SELECT root, {ITEM_CELLS} FROM {{items_file}}"),
+    "sink_orders_csv": unit_files(
+        HOLD_HEADER, f"SELECT root, {line(raw('biblio_id'), raw('order_count'), csv('branch'))} FROM {{order_counts}}"),
+    "sink_circs_csv": unit_files(
         "copy_id,barcode,biblio_id,transaction_type,transaction_date,transaction_branch,due_date",
-        f"SELECT {line(raw('ac_id'), csv('barcode'), raw('biblio_id'), csv('transaction_type'), raw('transaction_day'), csv('transaction_branch'), raw('due_day'))} FROM {{transactions}}"),
-    "sink_bibs_csv": with_header(BIB_HEADER, f"SELECT {BIB_CELLS} FROM {{bib_fields}}"),
-    "sink_holds_csv": with_header(
+        f"SELECT root, {line(raw('ac_id'), csv('barcode'), raw('biblio_id'), csv('transaction_type'), raw('transaction_day'), csv('transaction_branch'), raw('due_day'))} FROM {{transactions}}"),
+    "sink_bibs_csv": unit_files(BIB_HEADER, f"SELECT root, {BIB_CELLS} FROM {{distinct_bibs}} LEFT JOIN {{bib_fields}} USING (biblio_id)"),
+    "sink_holds_csv": unit_files(
         HOLD_HEADER,
-        f"SELECT {line(raw('biblio_id'), raw('hold_type'), raw('hold_count'), csv('holds_branch'))} FROM {{hold_counts}}"),
-    "sink_holds_alltime_csv": with_header(
+        f"SELECT root, {line(raw('biblio_id'), raw('hold_type'), raw('hold_count'), csv('holds_branch'))} FROM {{hold_counts}}"),
+    "sink_holds_alltime_csv": unit_files(
         HOLD_HEADER,
-        f"""SELECT {line(raw('biblio_id'), raw('n'), csv('holds_branch'))} FROM (
+        f"""SELECT root, {line(raw('biblio_id'), raw('n'), csv('holds_branch'))} FROM (
             SELECT root, biblio_id, hold_type, holds_branch, count(*) AS n FROM {{resolved_all}} GROUP BY ALL)"""),
-    "sink_metarecords_csv": with_header(
-        "metarecord,biblio_id", f"SELECT {line(raw('metarecord'), raw('biblio_id'))} FROM {{held_metarecords}}"),
+    "sink_metarecords_csv": unit_files(
+        "metarecord,biblio_id", f"SELECT root, {line(raw('metarecord'), raw('biblio_id'))} FROM {{held_metarecords}}"),
     "sink_branch_csv": with_header(
         "System_Code,Branch_Code,Branch_Name,Postal_Code,Address,User_Count,DateEnd",
         f"SELECT {line(raw('system_code'), raw('branch_code'), csv('branch_name', False), csv('postal_code', False), csv('address', False), raw('user_count'), raw('date_end'))} FROM {{branches}}"),
@@ -155,8 +159,11 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 2, ac_id, {HOLD_ROW} FROM {{chq_items}}
         UNION ALL SELECT 3, 0, '##TRAILER##,' || (SELECT count(*) FROM {{chq_bibs}}) || ',' || (SELECT count(*) FROM {{chq_items}})""",
     "run_audit": """
-        SELECT '1998-07-01' AS run_date, 'order file generated' AS event, count(*) AS rows FROM {order_counts}
-        UNION ALL SELECT '1998-07-01', 'hold file generated', count(*) FROM {hold_counts}""",
+        SELECT '1998-07-01' AS run_date, e.event, u.root, count(f.unit) AS rows
+        FROM (SELECT DISTINCT root FROM {scope}) u CROSS JOIN (VALUES ('orders file generated'), ('holds file generated')) e(event)
+        LEFT JOIN (SELECT 'orders file generated' AS event, root AS unit FROM {order_counts}
+                   UNION ALL SELECT 'holds file generated', root FROM {hold_counts}) f ON f.event = e.event AND f.unit = u.root
+        GROUP BY ALL""",
     "exclude_modifiers": "SELECT id, circ_modifier FROM {copy} WHERE circ_modifier NOT IN ('ECONOMY', 'PROMO')",
     "scope_orgs": "SELECT root, count(*) AS copies FROM {copy} c JOIN {scope} s ON s.org_id = c.circ_lib GROUP BY 1",
     "as_of": "SELECT id FROM {copy} WHERE CAST(create_date AS DATE) < DATE '1996-03-15'",
@@ -223,6 +230,7 @@ ORACLES: dict[str, str] = {
     "agg_last_checkin": "SELECT ac_id, last_checkin FROM {stats}",
     "agg_last_due": "SELECT ac_id, last_due FROM {stats}",
     "agg_last_circ": "SELECT ac_id, last_circ FROM {stats}",
+    "agg_circs_incremental": "SELECT * FROM {stats}",
     "agg_circs_alltime_koha": """
         SELECT itemnumber AS ac_id, count(*) AS all_circs, count(*) AS monthly_circs, count(*) AS annual_circs,
                max(CAST(returndate AS DATE)) AS last_checkin, max(CAST(date_due AS DATE)) AS last_due,
@@ -334,7 +342,7 @@ ORACLES: dict[str, str] = {
         SELECT date_trunc('hour', ts) AS hour, max(severity) AS severity, count(CASE WHEN severity > 0 THEN 1 END) AS findings
         FROM ({HEALTH}) GROUP BY 1""",
     "missing_log_warn": """
-        SELECT hour, 1 AS severity FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:00:00',
+        SELECT hour, 1 AS severity FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-03 23:00:00',
             INTERVAL 1 HOUR)) AS hour)
         WHERE hour NOT IN (SELECT date_trunc('hour', ts) FROM {service_log})""",
     "service_counts": r"""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from shelfstream.functions.text import ACCENTED, UNACCENTED
-
 D = "DATE '1998-07-01'"
 LENDING_DAY = "DATE '1999-07-01'"
 
@@ -82,7 +80,7 @@ def price(value: str) -> str:
 
 def naco(value: str) -> str:
     return (
-        f"trim(regexp_replace(regexp_replace(translate(lower({value}), '{ACCENTED}', '{UNACCENTED}'), "
+        f"trim(regexp_replace(regexp_replace(translate(strip_accents(lower({value})), '\u00f8\u0142\u0111', 'old'), "
         r"'[''\[\]\p{M}]', '', 'g'), '[^\p{L}\p{N}]+', ' ', 'g'))"
     )
 

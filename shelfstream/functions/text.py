@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import Column, functions as F
 
-# Accented letters and the plain letters they fold to.
-ACCENTED = "àáâãäåāăçćčèéêëēėęìíîïīñńòóôõöøōùúûüūýÿžźżšśłđğ"
-UNACCENTED = "aaaaaaaaccceeeeeeeiiiiinnooooooouuuuuyyzzzssldg"
+# Letters with a stroke, which Unicode does not decompose, and the plain letters they fold to.
+STROKED = "\u00f8\u0142\u0111"
+UNSTROKED = "old"
+
+
+@cache
+def folds() -> tuple[str, str]:
+    """Every composed letter of the basic plane and the letter it is composed on, by Unicode's own decompositions."""
+    pairs = {}
+    for code in range(0xC0, 0xD800):
+        whole = unicodedata.normalize("NFD", chr(code))
+        if len(whole) > 1 and whole[0].isalpha() and all(unicodedata.category(mark).startswith("M") for mark in whole[1:]):
+            pairs[chr(code)] = whole[0]
+    return "".join(pairs) + STROKED, "".join(pairs.values()) + UNSTROKED
 
 
 def blank_if_null(value: Column) -> Column:
@@ -94,7 +107,7 @@ def naco_normalize(value: Column) -> Column:
     Lower case, no diacritics (composed or combining), no apostrophes or square brackets, other
     punctuation as single spaces.
     """
-    folded = F.translate(F.lower(value), ACCENTED, UNACCENTED)
+    folded = F.translate(F.lower(value), *folds())
     bare = F.regexp_replace(folded, r"['\[\]\p{M}]", "")
     return F.trim(F.regexp_replace(bare, r"[^\p{L}\p{N}]+", " "))
 

@@ -67,15 +67,19 @@ def items_with_circs(items: DataFrame, stats: DataFrame) -> DataFrame:
     return items.join(stats, "ac_id", "left")
 
 
-def last_circ(circulation: DataFrame, aged_circulation: DataFrame, org_unit: DataFrame) -> DataFrame:
+def last_circ(
+    circulation: DataFrame, aged_circulation: DataFrame, org_unit: DataFrame, copy_ids: DataFrame | None = None
+) -> DataFrame:
     """Per copy: library of the latest loan, date of the latest live loan, lifetime count.
 
-    Aggregation keeps one row per copy and task, so a copy with a very large
+    Of all copies, or of those whose ``id`` is in ``copy_ids``: other loans leave before they are folded.  Aggregation keeps one row per copy and task, so a copy with a very large
     loan history is never gathered or sorted in one place.
     """
     loans = all_circulations(
         *[df.select("id", "target_copy", "circ_lib", "xact_start") for df in (circulation, aged_circulation)]
     )
+    if copy_ids is not None:
+        loans = loans.join(copy_ids.select(F.col("id").alias("target_copy")), "target_copy", "left_semi")
     stats = loans.groupBy(F.col("target_copy").alias("ac_id")).agg(
         F.max_by("circ_lib", F.struct("xact_start", "id")).alias("last_lib"),
         F.max(F.when(F.col("is_live"), F.to_date("xact_start"))).alias("last_use"),

@@ -54,6 +54,11 @@ def _in_scope(df: DataFrame, scope: DataFrame, column: str) -> DataFrame:
     return df.join(scope.select(F.col("org_id").alias(column)), column, "left_semi")
 
 
+def scoped_copies(copy: DataFrame, scope: DataFrame) -> DataFrame:
+    """Copies in use whose library is in the scope."""
+    return _in_scope(copy.filter(~F.col("deleted")), scope, "circ_lib")
+
+
 def collection_items(
     copy: DataFrame,
     copy_location: DataFrame,
@@ -66,7 +71,7 @@ def collection_items(
     scope: DataFrame,
 ) -> DataFrame:
     """Columns of the copy rows, before quoting."""
-    chosen = _in_scope(copy.filter(~F.col("deleted")), scope, "circ_lib").withColumn(
+    chosen = scoped_copies(copy, scope).withColumn(
         "copy_price", attempt_price(F.col("price").cast("string"))
     )
     volumes = call_number.select(F.col("id").alias("call_number"), F.col("record").alias("biblio_id"), "label")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from shelfstream.functions.dates import epoch_seconds, from_epoch_seconds, hour_trunc
 from shelfstream.functions.thresholds import classify
-from shelfstream.session import materialize, materialize_counted
+from shelfstream.session import materialize
 
 # Texts that mark a log line.
 LOST_MARKS = ("listener count: 0", "controller count: 0", "master count: 0")
@@ -264,43 +264,67 @@ def trace_related_lines(
 
     Followed terms are digits or hexadecimal digits, so each line is cut into
     the substrings of its hexadecimal runs that have a term's length, and the
-    substring test becomes an equi-join.  Which line yields and which line
-    holds a term is worked out once and kept in the shared folder; each round
-    then joins only the lines reached in the round before, until none is new.
+    substring test becomes an equi-join.  A term counts from the first reached
+    line that yields it; a line that holds a term and yields others is a step
+    from the one to the others at its line number.  The earliest line of each
+    term settles by relaxing the steps, several hops in one plan and twice as
+    many in the next, so a chain of n hops takes about log2(n) jobs.
     """
     direct = F.col("line").contains(search)
     if include_errors:
         direct = direct | F.col("line").contains("[ERR")
     patterns = [p for p, on in ((LINE_PID, follow_pid), (LINE_AUTH, follow_auth), (LINE_TRACE, follow_trace)) if on]
-    reached = lines.filter(direct).select("line_no")
+    first = lines.filter(direct).select("line_no")
     if not patterns:
-        return lines.join(reached, "line_no", "left_semi")
+        return lines.join(first, "line_no", "left_semi")
 
     terms = F.array_distinct(
         F.array_compact(F.array(*[F.nullif(F.regexp_extract("line", p, 1), F.lit("")) for p in patterns]))
     )
-    yields = materialize(lines.select("line_no", F.explode(terms).alias("term")), "trace-yields")
+    yields = materialize(lines.select("line_no", F.explode(terms).alias("term"), direct.alias("direct")), "trace-yields")
     known_terms = yields.select("term").distinct()
     # The distinct term lengths: a handful of small numbers.
     sizes = sorted(row["size"] for row in known_terms.select(F.length("term").alias("size")).distinct().collect())
     if not sizes:
-        return lines.join(reached, "line_no", "left_semi")
+        return lines.join(first, "line_no", "left_semi")
     runs = lines.select("line_no", F.explode(F.regexp_extract_all("line", F.lit("([0-9a-f]+)"), F.lit(1))).alias("run"))
     pieces = runs.select(
         "line_no",
         F.explode(F.array_distinct(F.concat(*[_run_pieces(F.col("run"), size) for size in sizes]))).alias("term"),
     )
-    holds = materialize(pieces.join(known_terms, "term", "left_semi"), "trace-holds")
-
-    reached, size = materialize_counted(reached, "trace-reached")
-    fresh = reached
-    while size:
-        found = fresh.join(yields, "line_no").groupBy("term").agg(F.min("line_no").alias("since"))
-        later = (
-            holds.join(found, "term").filter(F.col("line_no") > F.col("since"))
-            .select("line_no").distinct()
-            .join(reached, "line_no", "left_anti")
-        )
-        fresh, size = materialize_counted(later, "trace-reached")
-        reached = reached.unionByName(fresh)
-    return lines.join(reached, "line_no", "left_semi")
+    holds = materialize(pieces.join(known_terms, "term", "left_semi").distinct(), "trace-holds")
+    steps = holds.join(yields.select("line_no", F.col("term").alias("next")), "line_no").filter("term <> next")
+    steps = materialize(steps.select("term", "next", "line_no"), "trace-steps")
+    since = yields.filter("direct").groupBy("term").agg(F.min("line_no").alias("since"))
+    since = _earliest(since, steps)
+    later = holds.join(since, "term").filter(F.col("line_no") > F.col("since")).select("line_no")
+    return lines.join(first.unionByName(later).distinct(), "line_no", "left_semi")
+
+
+FIRST_HOPS, MOST_HOPS = 2, 64
+
+
+def _earliest(since: DataFrame, steps: DataFrame) -> DataFrame:
+    """(term, since) when no step (term, next, line_no) brings any term earlier: the least line that yields it.
+
+    A step counts if its line comes after its term's.  Every round writes the numbers with a count of those that its last
+    hop brought down, and the rounds end when there are none.  In a hop each term is met once by its steps; terms are
+    folded before the shuffle.
+    """
+    def hop(table):
+        reach = F.struct(F.col("next").alias("term"), F.col("line_no").alias("since"), F.lit(None).cast("long").alias("before"))
+        own = F.struct("term", "since", F.col("since").alias("before"))
+        rows = table.join(steps, "term", "left").select(F.explode(F.array(own, F.when(F.col("line_no") > F.col("since"), reach))).alias("r"))
+        return rows.filter("r IS NOT NULL").groupBy("r.term").agg(F.min("r.since").alias("since"), F.min("r.before").alias("before"))
+
+    table, hops = materialize(since, "trace-since"), FIRST_HOPS
+    while True:
+        further = table
+        for _ in range(hops):
+            further = hop(further.select("term", "since"))
+        observed = Observation()
+        earlier = F.count_if(F.col("before").isNull() | (F.col("since") < F.col("before"))).alias("earlier")
+        table = materialize(further.observe(observed, earlier), "trace-since").select("term", "since")
+        if not observed.get["earlier"]:
+            return table
+        hops = min(2 * hops, MOST_HOPS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 from typing import Any
@@ -14,8 +14,9 @@ from shelfstream.operators import (
     bibs, circulation as circ, collection, copies, holds, koha, lending, orders, orgs, ratio, transactions,
 )
 from shelfstream.plans.reports import Report, run_report
-from shelfstream.session import configure_session, materialize
+from shelfstream.session import configure_session, fresh_path, materialize
 from shelfstream.sources import sinks
+from shelfstream.sources.bib_table import BUCKETS, BibTable
 from shelfstream.sources.sinks import CsvLayout
 
 # The historical job runs as of a day before all data, so its windows take every loan.
@@ -132,10 +133,13 @@ class LibraryJobs:
         return bibs.bib_fields(self.t.record_entry, self.t.simple_record, self.t.record_attr_flat)
 
     def upsert(self) -> DataFrame:
+        """The next state of the title table that ``bib_extract`` holds."""
+        path = fresh_path(self.spark, "bib-table")
+        table = BibTable.open_or_create(self.spark, path, bibs.BIB_TABLE_SCHEMA.partition(", ")[2], buckets=16)
+        table.load(self.t.bib_extract)
         t = self.t
-        return bibs.upsert_bibs(
-            t.bib_extract, self.distinct_bibs(), t.record_entry, t.simple_record, t.record_attr_flat, f"{self.s.run_date} 00:00:00"
-        )
+        table.refresh(self.distinct_bibs(), t.record_entry, t.simple_record, t.record_attr_flat, f"{self.s.run_date} 00:00:00")
+        return table.read()
 
     def branches(self) -> DataFrame:
         t = self.t
@@ -156,7 +160,7 @@ class LibraryJobs:
         t = self.t
         return collection.collection_items(
             t.copy, t.copy_location, t.call_number, t.org_unit,
-            circ.last_circ(t.circulation, t.aged_circulation, t.org_unit),
+            circ.last_circ(t.circulation, t.aged_circulation, t.org_unit, collection.scoped_copies(t.copy, self.one_scope)),
             t.copy_note, t.full_rec, t.record_entry, self.one_scope,
         )
 
@@ -203,30 +207,31 @@ class LibraryJobs:
         return run_report(report, self.report_table, params, ordered)
 
     # ---- files ------------------------------------------------------------
-    def _write(self, outputs: dict[str, tuple[DataFrame, CsvLayout]], path: str, run_log: str | None) -> dict[str, int]:
+    @cached_property
+    def units(self) -> list[str]:
+        """The exported root units; as many as ``scope_roots`` names."""
+        return sorted(row["root"] for row in self.scope.select("root").distinct().collect())
+
+    def _write(
+        self, outputs: Iterable[tuple[str, tuple[DataFrame, CsvLayout]]], path: str, run_log: str | None
+    ) -> dict[str, dict[str, int]]:
+        """Write one output after the other; ``{output: {unit: rows}}``, and the same as audit rows of the run."""
         written = {}
-        for name, (rows, layout) in outputs.items():
-            write = sinks.write_csv_per_root if "root" in rows.columns else sinks.write_csv
-            written[name] = write(rows, layout, f"{path}/{name}")
+        for name, (rows, layout) in outputs:
+            if "root" in rows.columns:
+                written[name] = sinks.write_unit_files(rows, layout, f"{path}/{name}", self.units)
+            else:
+                written[name] = {sinks.ALL_UNITS: sinks.write_csv(rows, layout, f"{path}/{name}")}
             if run_log:
-                sinks.append_run_log(self.spark, run_log, self.s.run_date, f"{name} file generated", written[name])
+                sinks.write_audit(self.spark, run_log, self.s.run_date, name, written[name])
         return written
 
-    def refresh_bib_table(self, previous: str | None, target: str) -> DataFrame:
-        """Write the next state of the per-root title table to ``target`` and return it.
-
-        ``previous`` is the path of the last state, ``None`` on the first run;
-        it is only read, so a failed run can simply be repeated.
-        """
-        if previous is None:
-            state = self.spark.createDataFrame([], bibs.BIB_TABLE_SCHEMA)
-        else:
-            state = self.spark.read.schema(bibs.BIB_TABLE_SCHEMA).parquet(previous)
+    def refresh_bib_table(self, path: str, buckets: int = BUCKETS) -> DataFrame:
+        """Bring the per-root title table at ``path`` up to date, made on the first run, and return it."""
+        table = BibTable.open_or_create(self.spark, path, bibs.BIB_TABLE_SCHEMA, buckets)
         t = self.t
-        bibs.upsert_bibs(
-            state, self.distinct_bibs(), t.record_entry, t.simple_record, t.record_attr_flat, f"{self.s.run_date} 00:00:00"
-        ).write.parquet(target)
-        return self.spark.read.schema(bibs.BIB_TABLE_SCHEMA).parquet(target)
+        table.refresh(self.distinct_bibs(), t.record_entry, t.simple_record, t.record_attr_flat, f"{self.s.run_date} 00:00:00")
+        return table.read()
 
     def write_vendor_files(
         self,
@@ -234,31 +239,27 @@ class LibraryJobs:
         files: Sequence[str] = FILES,
         historical: bool = False,
         run_log: str | None = None,
-        bib_table: tuple[str | None, str] | None = None,
-    ) -> dict[str, int]:
-        """Vendor files, one folder per scoped root; returns the row count of each.
+        bib_table: str | None = None,
+    ) -> dict[str, dict[str, int]]:
+        """Vendor files, one finished file per scoped root unit; returns the rows of each output and unit.
 
-        The ``bib`` file needs ``bib_table``: the paths of the title table's
-        previous state (or ``None``) and of its next one.
+        ``files`` names what to write: ``hold`` stands for ``holds`` and ``metarecords``, which can be named one by one as
+        well.  The ``bib`` file needs ``bib_table``, the path of the title table that the run brings up to date.
         """
         if "bib" in files and bib_table is None:
-            raise ValueError("the bib file needs bib_table=(previous, target)")
+            raise ValueError("the bib file needs bib_table")
         makers = {
-            "item": lambda: {"items": (self.items_file(historical), sinks.ITEMS)},
-            "order": lambda: {"orders": (self.order_counts(), sinks.ORDERS)},
-            "circ": lambda: {"circs": (sinks.with_days(self.transactions(historical)), sinks.CIRCS)},
-            "hold": lambda: {
-                "holds": (self.hold_counts(historical), sinks.HOLDS_ALLTIME if historical else sinks.HOLDS),
-                "metarecords": (self.metarecords(historical), sinks.METARECORDS),
-            },
-            "bib": lambda: {"bibs": (self.refresh_bib_table(*bib_table), sinks.BIBS)},
+            "item": ("items", lambda: (self.items_file(historical), sinks.ITEMS)),
+            "order": ("orders", lambda: (self.order_counts(), sinks.ORDERS)),
+            "circ": ("circs", lambda: (sinks.with_days(self.transactions(historical)), sinks.CIRCS)),
+            "holds": ("holds", lambda: (self.hold_counts(historical), sinks.HOLDS_ALLTIME if historical else sinks.HOLDS)),
+            "metarecords": ("metarecords", lambda: (self.metarecords(historical), sinks.METARECORDS)),
+            "bib": ("bibs", lambda: (self.refresh_bib_table(bib_table), sinks.BIBS)),
         }
-        outputs = {}
-        for name in files:
-            outputs.update(makers[name]())
-        return self._write(outputs, path, run_log)
+        chosen = [own for name in files for own in (("holds", "metarecords") if name == "hold" else (name,))]
+        return self._write(((makers[name][0], makers[name][1]()) for name in chosen), path, run_log)
 
-    def write_koha_files(self, path: str, historical: bool = False, run_log: str | None = None) -> dict[str, int]:
+    def write_koha_files(self, path: str, historical: bool = False, run_log: str | None = None) -> dict[str, dict[str, int]]:
         t = self.t
         return self._write(
             {
@@ -269,7 +270,7 @@ class LibraryJobs:
                 ),
                 "holds": (self.koha_hold_counts(historical), sinks.HOLDS_ALLTIME),
                 "bibs": (koha.bibs(t.koha_biblio, t.koha_biblioitems, t.koha_items), sinks.BIBS),
-            },
+            }.items(),
             path, run_log,
         )
 

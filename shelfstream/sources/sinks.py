@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -107,17 +108,38 @@ def write_csv(rows: DataFrame, layout: CsvLayout, path: str, line_separator: str
     return observed.get["rows"]
 
 
-def write_csv_per_root(rows: DataFrame, layout: CsvLayout, path: str) -> int:
-    """One ``root=…`` folder per exported root unit from a single pass.
+UNIT_FILE_SCHEMA = "line string, root string"
 
-    The header goes to its own folder, to be put ahead of each root's parts.
+
+def write_unit_files(rows: DataFrame, layout: CsvLayout, path: str, units: Sequence[str], line_separator: str = "\n") -> dict[str, int]:
+    """A finished vendor file per unit below ``path``, in one pass; returns the rows of each unit.
+
+    ``rows`` carry their unit as ``root``.  Unit R's file is the folder ``root=R``: its part files in name order, the first
+    of which is the header line, so a unit without rows has a file too.  The headers are the first partition of a union, which
+    keeps its inputs' partitions in order: nothing is sorted or shuffled.  Tasks write to attempt folders and only a finished
+    job moves their parts in place, so a failed or repeated task leaves no half file.  A rerun replaces the files.  Rows
+    are counted by the tasks that write them; each task counts once, however often it is tried.
     """
     spark = rows.sparkSession
-    observed = Observation()
-    lines = csv_lines(rows, layout, keep=("root",)).observe(observed, F.count(F.lit(1)).alias("rows"))
-    write_lines(spark.range(1).select(F.lit(layout.header).alias("line")), f"{path}/header")
-    lines.write.partitionBy("root").text(f"{path}/rows")
-    return observed.get["rows"]
+    observed, root = Observation(), F.coalesce("root", F.lit(""))
+    counts = [F.count_if(F.col("root") == unit).alias(f"unit_{k}") for k, unit in enumerate(units)]
+    elsewhere = F.count_if(~F.coalesce(F.col("root").isin(*units), F.lit(False))).alias("elsewhere")
+    lines = csv_lines(rows, layout, keep=("root",)).observe(observed, elsewhere, *counts)
+    headers = spark.range(0, 1, 1, 1).select(
+        F.explode(F.array(*[F.lit(unit) for unit in units])).alias("root"), F.lit(layout.header).alias("line")
+    )
+    (
+        headers.unionByName(lines).select(root.alias("root"), "line")
+        .write.mode("overwrite").option("lineSep", line_separator).partitionBy("root").text(path)
+    )
+    if observed.get["elsewhere"]:
+        raise ValueError(f"{observed.get['elsewhere']} rows belong to none of the units {list(units)}")
+    return {unit: observed.get[f"unit_{k}"] for k, unit in enumerate(units)}
+
+
+def read_unit_files(spark: SparkSession, path: str) -> DataFrame:
+    """(line, root) of the finished files, header lines included."""
+    return spark.read.schema(UNIT_FILE_SCHEMA).text(path)
 
 
 def write_dat(bib_rows: DataFrame, item_rows: DataFrame, library: str, extract_date: str, path: str) -> tuple[int, int]:
@@ -141,13 +163,22 @@ def write_dat(bib_rows: DataFrame, item_rows: DataFrame, library: str, extract_d
     return counts[0], counts[1]
 
 
-RUN_LOG_SCHEMA = "run_date string, event string, rows bigint, event_time timestamp_ntz"
+AUDIT_SCHEMA = "event string, root string, rows bigint, event_time timestamp_ntz, run_date string, file string"
+ALL_UNITS = ""
+
 
+def write_audit(spark: SparkSession, path: str, run_date: str, file: str, rows: Mapping[str, int]) -> None:
+    """Set the audit rows of one output of one run: a row per unit (``ALL_UNITS`` for a file of no single unit).
 
-def append_run_log(spark: SparkSession, path: str, run_date: str, event: str, rows: int | None) -> None:
-    """Append one event to the parquet run log."""
-    entry = spark.range(1).select(
-        F.lit(run_date).alias("run_date"), F.lit(event).alias("event"),
-        F.lit(rows).cast("bigint").alias("rows"), F.current_timestamp().cast("timestamp_ntz").alias("event_time"),
+    The table is partitioned by run and file and only that partition is replaced, so a rerun does not double its rows.
+    """
+    units = F.explode(F.create_map(*[x for unit, n in rows.items() for x in (F.lit(unit), F.lit(n).cast("bigint"))]))
+    entry = spark.range(1).select(units.alias("root", "rows")).select(
+        F.lit(f"{file} file generated").alias("event"), "root", "rows",
+        F.current_timestamp().cast("timestamp_ntz").alias("event_time"), F.lit(run_date).alias("run_date"), F.lit(file).alias("file"),
     )
-    entry.write.mode("append").parquet(path)
+    entry.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date", "file").parquet(path)
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(AUDIT_SCHEMA).parquet(path)

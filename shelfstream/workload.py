@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shelfstream.functions import dates, marc, text, thresholds
 from shelfstream.operators import (
-    bibs, circulation as circ, collection, copies, holds, koha, lending, logs, newest, orgs, transactions,
+    bibs, circulation as circ, collection, copies, holds, koha, lending, loan_days, logs, newest, orgs, transactions,
 )
 from shelfstream.plans.exports import HISTORICAL_DATE, LibraryJobs, Settings
 from shelfstream.plans.report_registry import REPORTS
@@ -97,39 +97,46 @@ def _file(rows, layout):
     return sinks.with_header(sinks.csv_lines(rows, layout), layout.header)
 
 
+def _unit_files(j, kind, output, historical=False):
+    """The finished files of the job, read back with their unit."""
+    path = fresh_path(j.spark, "vendor")
+    j.write_vendor_files(path, (kind,), historical, bib_table=fresh_path(j.spark, "bib-table"))
+    return sinks.read_unit_files(j.spark, f"{path}/{output}")
+
+
 @query
 def sink_items_csv(j):
-    return _file(j.items_file(), sinks.ITEMS)
+    return _unit_files(j, "item", "items")
 
 
 @query
 def sink_orders_csv(j):
-    return _file(j.order_counts(), sinks.ORDERS)
+    return _unit_files(j, "order", "orders")
 
 
 @query
 def sink_circs_csv(j):
-    return _file(sinks.with_days(j.transactions()), sinks.CIRCS)
+    return _unit_files(j, "circ", "circs")
 
 
 @query
 def sink_bibs_csv(j):
-    return _file(j.bib_fields(), sinks.BIBS)
+    return _unit_files(j, "bib", "bibs")
 
 
 @query
 def sink_holds_csv(j):
-    return _file(j.hold_counts(), sinks.HOLDS)
+    return _unit_files(j, "holds", "holds")
 
 
 @query
 def sink_holds_alltime_csv(j):
-    return _file(j.hold_counts(historical=True), sinks.HOLDS_ALLTIME)
+    return _unit_files(j, "holds", "holds", historical=True)
 
 
 @query
 def sink_metarecords_csv(j):
-    return _file(j.metarecords(), sinks.METARECORDS)
+    return _unit_files(j, "metarecords", "metarecords")
 
 
 @query
@@ -165,12 +172,11 @@ def sink_dat_file(j):
 
 @query
 def run_audit(j):
-    """Two outputs are written and their row counts, taken during the write, are logged."""
-    base, log = fresh_path(j.spark, "audit"), fresh_path(j.spark, "run-log")
-    for event, rows, layout in (("order", j.order_counts(), sinks.ORDERS), ("hold", j.hold_counts(), sinks.HOLDS)):
-        written = sinks.write_csv(rows, layout, f"{base}/{event}")
-        sinks.append_run_log(j.spark, log, RUN_DATE, f"{event} file generated", written)
-    return j.spark.read.schema(sinks.RUN_LOG_SCHEMA).parquet(log).select("run_date", "event", "rows")
+    """Two outputs are written, one of them by a repeated run; the audit has one row per output and unit."""
+    path, log = fresh_path(j.spark, "vendor"), fresh_path(j.spark, "run-log")
+    for files in (("order", "holds"), ("order",)):
+        j.write_vendor_files(path, files, run_log=log)
+    return sinks.read_audit(j.spark, log).select("run_date", "event", "root", "rows")
 
 
 # ---- job arguments --------------------------------------------------------
@@ -410,6 +416,27 @@ def agg_last_circ(j):
     return j.circ_stats(RUN_DATE, RUN_DATE).select("ac_id", "last_circ")
 
 
+def _three_runs(j):
+    """Loan statistics kept up over three runs, with days touched in between."""
+    state = loan_days.LoanDays(j.spark, fresh_path(j.spark, "loan-days"))
+    live, aged = j.t.circulation, j.t.aged_circulation
+    # What the first run cannot know yet: loans of its last days, and returns after it.
+    early = [t.filter("xact_start < TIMESTAMP_NTZ '1998-03-01'").withColumn(
+        "checkin_time", F.when(F.col("checkin_time") < F.lit("1998-02-20").cast("timestamp_ntz"), F.col("checkin_time"))) for t in (live, aged)]
+    state.start(*early, "1998-03-01")
+    late = early[0].unionByName(early[1], allowMissingColumns=True).select("id", F.col("checkin_time").alias("was")).join(
+        live.select("id", "xact_start", "checkin_time").unionByName(aged.select("id", "xact_start", "checkin_time")), "id")
+    days = late.filter("NOT was <=> checkin_time").select(F.to_date("xact_start").cast("string").alias("day")).distinct()
+    state.advance(live, aged, "1998-03-01", "1998-06-01", [r["day"] for r in days.collect()])  # at most the days of the calendar
+    state.advance(live, aged, "1998-06-01", RUN_DATE, [])
+    return state.stats(RUN_DATE)
+
+
+@query
+def agg_circs_incremental(j):
+    return _three_runs(j)
+
+
 @query
 def agg_circs_alltime_koha(j):
     return koha.circ_stats(j.t.koha_issues, j.t.koha_old_issues, None)
@@ -803,7 +830,8 @@ def stream_window_alert(j):
 
 @query
 def missing_log_warn(j):
-    return logs.missing_hours(j.t.service_log, "2024-01-01 00:00:00", "2024-01-30 23:00:00")
+    """The log ends within the range, so its last days are missing."""
+    return logs.missing_hours(j.t.service_log, "2024-01-01 00:00:00", "2024-02-03 23:00:00")
 
 
 @query

@@ -2,12 +2,16 @@
 
 import glob
 import gzip
+import random
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from shelfstream.operators import bibs, collection, koha, lending, newest, ratio
+from shelfstream.operators import bibs, circulation as circ, collection, koha, lending, newest, ratio
+from shelfstream.operators.loan_days import LoanDays
 from shelfstream.sources import sinks
+from shelfstream.sources.bib_table import BibTable
 from shelfstream.workload import jobs
 
 ORG = "id bigint, shortname string, name string, ou_type int, parent_ou bigint"
@@ -144,22 +148,138 @@ def read_parts(path, opener=open):
     return "".join(opener(p, "rt", newline="").read() for p in sorted(glob.glob(f"{path}/part-*")))
 
 
-def test_vendor_files_and_run_log(spark, folder, tmp_path):
+def test_vendor_files_are_finished_per_unit(spark, folder, tmp_path):
     j = jobs(spark, folder)
-    log = str(tmp_path / "log")
-    states = [str(tmp_path / name) for name in ("bibs-1", "bibs-2")]
-    written = j.write_vendor_files(str(tmp_path / "out"), ("item", "bib"), run_log=log, bib_table=(None, states[0]))
-    assert read_parts(tmp_path / "out" / "items" / "header") == sinks.ITEMS.header + "\n"
-    for root in ("CONS", "NATION_8"):
-        assert glob.glob(str(tmp_path / "out" / "*" / "rows" / f"root={root}"))
-    lines = "".join(read_parts(p) for p in glob.glob(str(tmp_path / "out" / "items" / "rows" / "*"))).splitlines()
-    assert len(lines) == written["items"]
-    again = j.refresh_bib_table(*states)
-    first = spark.read.parquet(states[0])
-    assert sorted(map(str, again.collect())) == sorted(map(str, first.select(*again.columns).collect()))
-    assert first.count() == written["bibs"] == j.distinct_bibs().count()
-    logged = {r.event: r.rows for r in spark.read.parquet(log).collect()}
-    assert logged == {f"{name} file generated": count for name, count in written.items()}
+    log, table = str(tmp_path / "log"), str(tmp_path / "bibs")
+
+    def run():
+        return j.write_vendor_files(str(tmp_path / "out"), ("item", "hold", "bib"), run_log=log, bib_table=table)
+
+    written = run()
+    assert set(written) == {"items", "holds", "metarecords", "bibs"} and all(set(units) == {"CONS", "NATION_8"} for units in written.values())
+    for name, layout in (("items", sinks.ITEMS), ("holds", sinks.HOLDS), ("metarecords", sinks.METARECORDS), ("bibs", sinks.BIBS)):
+        for unit, rows in written[name].items():
+            lines = read_parts(tmp_path / "out" / name / f"root={unit}").splitlines()
+            assert lines[0] == layout.header and lines.count(layout.header) == 1 and len(lines) == rows + 1
+    assert sum(written["bibs"].values()) == j.distinct_bibs().count()
+    back = sinks.read_unit_files(spark, str(tmp_path / "out" / "items"))
+    assert back.count() == sum(written["items"].values()) + 2
+
+    def audit():
+        return sorted((r.event, r.root, r.rows, r.run_date) for r in sinks.read_audit(spark, log).collect())
+
+    expected = sorted((f"{n} file generated", u, k, "1998-07-01") for n, units in written.items() for u, k in units.items())
+    assert audit() == expected
+    assert run() == written and audit() == expected  # a rerun replaces files and audit rows
+
+
+def test_a_failed_task_leaves_no_half_file(spark, tmp_path):
+    @F.udf("string")
+    def broken(k):
+        if k == 900:
+            raise RuntimeError("task fails")
+        return str(k)
+
+    layout = sinks.CsvLayout("a", ("a",), frozenset())
+    rows = spark.range(0, 1000, 1, 4).select(F.lit("R").alias("root"), broken("id").alias("a"))
+    path = str(tmp_path / "out")
+    with pytest.raises(Exception, match="task fails"):
+        sinks.write_unit_files(rows, layout, path, ["R"])
+    assert not glob.glob(f"{path}/**/part-*", recursive=True)
+    good = spark.range(5).select(F.lit("R").alias("root"), F.col("id").cast("string").alias("a"))
+    assert sinks.write_unit_files(good, layout, path, ["R", "S"]) == {"R": 5, "S": 0}
+    assert read_parts(f"{path}/root=S") == "a\n"
+    with pytest.raises(ValueError, match="none of the units"):
+        sinks.write_unit_files(good, layout, path, ["S"])
+
+
+BIB_SCHEMA = bibs.BIB_TABLE_SCHEMA.partition(", ")[2]
+
+
+def test_bucketed_title_table_follows_the_rules(spark, rows, tmp_path):
+    old, active, entry, simple, attrs = bib_tables(rows)
+    table = BibTable.open_or_create(spark, str(tmp_path), BIB_SCHEMA, 4)
+    assert table.read().count() == 0
+    table.load(old)
+    now = "2020-03-31 00:00:00"
+    table.refresh(active, entry, simple, attrs, now)
+    plain = lambda df: sorted(map(str, df.collect()))
+    expected = bibs.upsert_bibs(old, active, entry, simple, attrs, now)
+    assert plain(table.read()) == plain(expected.select(*table.read().columns))
+    assert table.refresh(active, entry, simple, attrs, "2021-01-01 00:00:00") == set()
+    # A deleted title with a circulating copy leaves and enters again, as it does without buckets.
+    more = active.unionByName(rows("root string, biblio_id bigint", ("R", 3)))
+    table.load(old)
+    table.refresh(more, entry, simple, attrs, now)
+    assert plain(table.read()) == plain(bibs.upsert_bibs(old, more, entry, simple, attrs, now).select(*table.read().columns))
+
+
+def test_one_percent_of_titles_rewrites_their_buckets_only(spark, tmp_path):
+    marc = '<record><datafield tag="245"><subfield code="a">New</subfield></datafield></record>'
+    entry = spark.range(1, 401).select("id", F.lit(marc).alias("marc"), (F.col("id") == 7).alias("deleted"),
+                                       F.when(F.col("id").isin(11, 250, 399), F.lit("2020-06-01")).otherwise(F.lit("2020-01-01")).cast("timestamp_ntz").alias("edit_date"))
+    simple = spark.createDataFrame([], "id bigint, author string, isbn array<string>")
+    attrs = spark.createDataFrame([], "id bigint, attr string, value string")
+    active = spark.range(1, 402).filter("id <> 7").select(F.lit("R").alias("root"), F.col("id").alias("biblio_id")).filter("biblio_id <> 401")
+    table = BibTable.open_or_create(spark, str(tmp_path), bibs.BIB_TABLE_SCHEMA, 128)
+    table.load(spark.range(1, 401).select(F.lit("R").alias("root"), F.col("id").alias("biblio_id"), *[F.lit("old").alias(c) for c in bibs.BIB_COLUMNS[1:-1]],
+                                          F.lit("2020-03-01").cast("timestamp_ntz").alias("last_update")))
+    before = table.state()[1]
+    touched = table.refresh(active, entry, simple, attrs, "2020-07-01 00:00:00")
+    after = table.state()[1]
+    moved = {b for b in before if before[b] != after.get(b)}
+    assert moved == touched and 1 <= len(touched) <= 4 < len(before) and table.state()[0] == 2
+    got = {r.biblio_id: r.title for r in table.read().collect()}
+    assert len(got) == 399 and {k for k, title in got.items() if title == "New"} == {11, 250, 399}
+    first = {p.split("/")[-3] for p in glob.glob(f"{tmp_path}/data/*/bucket=*/part-*")}
+    table.forget(keep=1)
+    assert len(first) == 2 and {r.biblio_id: r.title for r in table.read().collect()} == got
+    # A version that was not finished is not read.
+    (tmp_path / "versions" / "version=3").mkdir()
+    assert table.state()[0] == 2
+
+
+def test_loan_days_equal_the_full_count_on_ten_days(spark, rows, tmp_path):
+    """Ten runs, between which loans come in late, are returned, change their day and go; one run is repeated."""
+    rnd = random.Random(8)
+    schema = "id bigint, target_copy bigint, xact_start timestamp_ntz, due_date timestamp_ntz, checkin_time timestamp_ntz"
+    stamp = lambda d: f"{d} {rnd.randrange(24):02d}:00:00"
+    day = lambda k: str(date(2020, 3, 1) + timedelta(k))
+    loans = {i: [i, rnd.randrange(6), stamp(day(-rnd.randrange(500))), stamp(day(20)), None] for i in range(60)}
+    state = LoanDays(spark, str(tmp_path))
+
+    def tables():
+        live = rows(schema, *[tuple(x) for x in loans.values() if x[0] % 3])
+        return live, rows(schema, *[tuple(x) for x in loans.values() if x[0] % 3 == 0], (999, 3, None, None, None))
+
+    plain = lambda df: sorted(map(str, df.select("ac_id", "all_circs", "monthly_circs", "annual_circs", "last_checkin", "last_due", "last_circ").collect()))
+    state.start(*tables(), day(0))
+    for k in range(1, 11):
+        touched = set()
+        for i in rnd.sample(sorted(loans), 5):
+            own = loans[i]
+            touched.add(own[2][:10])
+            if rnd.random() < 0.3:
+                del loans[i]
+            elif rnd.random() < 0.5:
+                own[4] = stamp(day(k))
+            else:
+                own[2], own[3] = stamp(day(-rnd.randrange(400))), stamp(day(rnd.randrange(30)))
+                touched.add(own[2][:10])
+        for n in range(6):
+            loans[100 * k + n] = [100 * k + n, rnd.randrange(8), stamp(day(k - 1 + n // 5)), stamp(day(40)), None]
+        for _ in range(2 if k == 4 else 1):
+            state.advance(*tables(), day(k - 1), day(k), sorted(touched))
+        assert plain(state.stats(day(k))) == plain(circ.circ_stats(*tables(), day(k), day(k))), k
+
+
+def test_loans_out_of_scope_leave_before_the_fold(spark, rows):
+    loans = rows("id bigint, target_copy bigint, circ_lib bigint, xact_start timestamp_ntz", *[(i, i % 50, 1, "2020-01-01 00:00:00") for i in range(200)])
+    units = rows("id bigint, shortname string", (1, "BR"))
+    scoped = circ.last_circ(loans, loans.limit(0), units, rows("id bigint", (3,), (4,)))
+    assert sorted((r.ac_id, r.circ_count, r.last_circ_lib) for r in scoped.collect()) == [(3, 4, "BR"), (4, 4, "BR")]
+    plan = scoped._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")  # the join feeds the fold
 
 
 def test_lending_files_end_lines_with_cr_lf(spark, folder, tmp_path):
@@ -177,21 +297,14 @@ def test_dat_sections_concatenate(spark, folder, tmp_path):
     assert len(lines) == bibs_written + items_written + 2
 
 
-def test_rows_per_root_in_one_pass(spark, folder, tmp_path):
-    j = jobs(spark, folder)
-    sinks.write_csv_per_root(j.order_counts(), sinks.ORDERS, str(tmp_path / "orders"))
-    roots = {p.rsplit("=", 1)[1] for p in glob.glob(str(tmp_path / "orders" / "rows" / "root=*"))}
-    assert "CONS" in roots
-
-
 def test_second_system_files(spark, folder, tmp_path):
     written = jobs(spark, folder).write_koha_files(str(tmp_path))
     assert set(written) == {"items", "orders", "circs", "holds", "bibs"}
     assert read_parts(tmp_path / "items").splitlines()[0] == sinks.KOHA_ITEMS.header
-    assert len(read_parts(tmp_path / "bibs").splitlines()) == written["bibs"] + 1
+    assert len(read_parts(tmp_path / "bibs").splitlines()) == written["bibs"][sinks.ALL_UNITS] + 1
 
 
 def test_historical_vendor_files_take_all_times(spark, folder, tmp_path):
     j = jobs(spark, folder)
     written = j.write_vendor_files(str(tmp_path), ("circ",), historical=True)
-    assert written["circs"] > j.transactions().count()
+    assert sum(written["circs"].values()) > j.transactions().count()

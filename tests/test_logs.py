@@ -52,6 +52,18 @@ def test_trace_is_forward_only_and_matches_brute_force(spark):
         assert got == brute_trace(lines, search, patterns), flags
 
 
+def test_a_chain_of_200_hops_takes_few_tables(spark, monkeypatch):
+    """Each line names the trace id of the line before; a hop backwards is not followed."""
+    line = "[2020-01-01 00:00:00] h [INFO:1:M.pm:1:{}] after {}"
+    chain = [(10 + k, line.format(70_000 + k + 1, 70_000 + k)) for k in range(200)]
+    other = [(5, line.format(1, 70_150)), (400, line.format(2, 90_000)), (401, line.format(3, 70_200))]
+    df = spark.createDataFrame([*chain, *other], "line_no bigint, line string")
+    written = []
+    monkeypatch.setattr(logs, "materialize", lambda table, label, keep=logs.materialize: written.append(label) or keep(table, label))
+    got = sorted(r.line_no for r in logs.trace_related_lines(df, "after 70000", follow_trace=True).collect())
+    assert got == [*range(10, 210), 401] and len(written) < 13 and sum(x == "trace-since" for x in written) < 10
+
+
 def test_trace_can_include_errors(spark):
     df = spark.createDataFrame([(1, "[t] h [ERR :1:M.pm:1:2] x"), (2, "[t] h [INFO:9:M.pm:1:3] y")], "line_no bigint, line string")
     assert [r.line_no for r in logs.trace_related_lines(df, "zzz", include_errors=True).collect()] == [1]

@@ -17,7 +17,7 @@ CHOSEN = [
     "join_holds_resolve", "agg_orders", "lending_multi_left", "branch_file", "upsert_bibs", "chq_item_rows", "chq_bib_rows",
     "koha_bibs", "koha_agg_circs", "koha_transactions_alltime", "koha_transactions_alltime_corrected", "src_log_text", "agg_hold_copy_ratio", "cpu_shares", "date_parts",
     "stream_service_health", "stream_window_alert", "trace_related_lines", "rpt_list_patrons_with_open_transactions",
-    "rpt_size_of_collection_report", "rpt_new_purchase_alerts_report", "rpt_new_popular_titles_on_hold", "missing_log_warn", "rpt_list_titles_used_in_house", "rpt_hourly_checkins",
+    "rpt_size_of_collection_report", "sink_bibs_csv", "sink_holds_alltime_csv", "run_audit", "agg_circs_incremental", "naco_normalize", "rpt_new_purchase_alerts_report", "rpt_new_popular_titles_on_hold", "missing_log_warn", "rpt_list_titles_used_in_house", "rpt_hourly_checkins",
 ]
 NAMES = list(registered()) if os.environ.get("SHELFSTREAM_ALL") else CHOSEN
 

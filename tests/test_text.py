@@ -59,3 +59,12 @@ def test_naco_normalize(spark):
 
 def test_folding_tables_line_up():
     assert len(text.ACCENTED) == len(text.UNACCENTED)
+
+
+def test_naco_folds_composed_letters(spark):
+    rows = [("Tiếng Việt", "tieng viet"), ("Ǻngström's [ø] Łódź đ", "angstroms o lodz d"), ("Ελλάδα", "ελλαδα"), ("e\u0301té", "ete"),
+            ("한국", "한국"), ("ß-x", "ß x"), ("", ""), ("ﬁ ½", "ﬁ ½")]
+    got = spark.createDataFrame(rows, "v string, expected string").select(text.naco_normalize(F.col("v")).alias("n"), "expected").collect()
+    assert [r.n for r in got] == [r.expected for r in got]
+    composed, plain = text.folds()
+    assert len(composed) == len(plain) > 800 and len(set(composed)) == len(composed)
