@@ -152,12 +152,12 @@ class WordTokenizer:
 
         self.library = Tokenizer.from_file(path)
         self._parts: dict[str, list[int]] = {}
-        self.cache = RaggedCache(self._library, 600_000)
+        self.cache = RaggedCache(self._library, 700_000)
 
     def _library(self, words: list[str]) -> list[list[int]]:
         """Words of plain letters, digits and signs are cut where the file's own pattern cuts them, and each part is left to
         the library's merge model; all others go through its whole chain."""
-        if len(self._parts) > 400_000:
+        if len(self._parts) > 500_000:
             self._parts.clear()
         out: list[list[int]] = []
         odd: list[int] = []
@@ -180,7 +180,7 @@ class WordTokenizer:
     def encode_many(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of every text; nulls count as empty."""
         out: list[np.ndarray] = []
-        for block in in_blocks(pc.fill_null(texts, "")):
+        for block in in_blocks(pc.fill_null(texts, ""), 4 << 20):
             words = pc.ascii_split_whitespace(block)
             whole = pc.match_substring_regex(block, WHOLE).to_numpy(zero_copy_only=False)
             if whole.any():
@@ -224,8 +224,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, text: str = "t
 
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
-            for at in range(0, len(keys), 1024):
-                for key, own in zip(keys[at : at + 1024], encoder.encode_many(batch.column("text").slice(at, 1024)), strict=True):
+            for at in range(0, len(keys), 2048):
+                for key, own in zip(keys[at : at + 2048], encoder.encode_many(batch.column("text").slice(at, 2048)), strict=True):
                     own = np.concatenate((own, end))
                     if ids and held + len(own) > shard_tokens:
                         yield shard()
