@@ -38,31 +38,44 @@ class RaggedCache:
         self._where.update(zip(words, range(first, first + len(words)), strict=True))
         self._used = int(ends[-1])
 
-    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words in a row (int32), and how many each word has."""
+    def rows(self, strings: list[str]) -> np.ndarray:
+        """The table's row of every string, until the next call."""
         if len(self._where) > self._limit or self._used > 16 * self._limit:
             self._clear()
-        coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        found = list(map(self._where.get, distinct))
+        found = list(map(self._where.get, strings))
         if None in found:
-            self._add([w for w, known in zip(distinct, found, strict=True) if known is None])
-            found = list(map(self._where.get, distinct))
-        index = np.array(found, np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
-        starts = self._starts[index]
-        lengths = self._starts[index + 1] - starts
-        ends = np.cumsum(lengths)
-        if not len(ends):
-            return np.empty(0, np.int32), lengths
-        gather = np.arange(ends[-1], dtype=np.int32) + np.repeat((starts - (ends - lengths)).astype(np.int32), lengths)
-        return self._flat[gather], lengths
+            self._add(list(dict.fromkeys(s for s, known in zip(strings, found, strict=True) if known is None)))
+            found = list(map(self._where.get, strings))
+        return np.array(found, np.int64)
+
+    def runs(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows one behind the other (int32), and how many each row has."""
+        return gathered(self._flat, self._starts[rows], self._starts[rows + 1])
+
+    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row (int32), and how many each word has."""
+        coded = words.dictionary_encode()
+        return self.runs(self.rows(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)])
 
     def encode_lists(self, words: pa.ListArray) -> list[np.ndarray]:
         """Ids of every list of words."""
-        offsets = words.offsets.to_numpy()
-        ids, lengths = self.encode(words.flatten())
-        ends = np.concatenate(([0], np.cumsum(lengths)))[offsets - offsets[0]]
-        return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        return per_list(words, *self.encode(words.flatten()))
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slices [start, end) of ``flat`` one behind the other, and their lengths."""
+    lengths = ends - starts
+    upto = np.cumsum(lengths)
+    if not len(upto):
+        return flat[:0], lengths
+    return flat[np.arange(upto[-1], dtype=np.int32) + np.repeat((starts - (upto - lengths)).astype(np.int32), lengths)], lengths
+
+
+def per_list(words: pa.ListArray, ids: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    """The ids of every list, from those of all its words in a row."""
+    offsets = words.offsets.to_numpy()
+    ends = np.concatenate(([0], np.cumsum(lengths)))[offsets - offsets[0]]
+    return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
 def in_blocks(texts: pa.Array, size: int = 2 << 20) -> Iterator[pa.Array]:

@@ -17,15 +17,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from shelfstream.llm.ragged import RaggedCache, in_blocks
+from shelfstream.llm.ragged import RaggedCache, gathered, in_blocks, per_list
 from shelfstream.session import fresh_path
 
 END_ID = 1
 SHARD_TOKENS = 1 << 20
 RANK_BLOCK = 512  # bits for each running count
-#: Characters that normalisation only lower-cases, without the apostrophe; and the pre-tokens of such a word.
-PLAIN = re.compile("[!-&(-{}~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-PART = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+#: Words of characters that normalisation only lower-cases, without the apostrophe; and the pre-tokens of such words, which
+#: line feeds part.
+PLAIN = "^[!-&(-{}~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+$"
+PART = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|\n|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff\n]+")
 #: Byte-level letters of the two-byte characters in PLAIN: every byte from 0xA1 on stands for itself, 0x80 to 0xA0 follow
 #: 0x100 in their order after the 33 low ones; 0xAD comes last.
 BYTE_LEVEL = {c: "".join(chr(b + 0xA2) if b <= 0xA0 else chr(0x143) if b == 0xAD else chr(b) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
@@ -140,8 +141,9 @@ class WaveletMatrix:
 class WordTokenizer:
     """Whole-text encoding of a ``tokenizers`` file whose pre-tokens never span ASCII white space.
 
-    Words between white space are encoded once by the library and remembered.  A text with one of the separators that
-    Python alone calls white space goes to the library whole.
+    The distinct words of a block that are plain letters, digits and signs are cut where the file's own pattern cuts them, all
+    in one pass, and each part is left to the library's merge model; other words go through its whole chain.  Both are
+    remembered up to a bound.  A text with one of the separators that Python alone calls white space goes to the library whole.
     """
 
     def __init__(self, path: str):
@@ -151,31 +153,34 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self._parts: dict[str, list[int]] = {}
-        self.cache = RaggedCache(self._library, 700_000)
-
-    def _library(self, words: list[str]) -> list[list[int]]:
-        """Words of plain letters, digits and signs are cut where the file's own pattern cuts them, and each part is left to
-        the library's merge model; all others go through its whole chain."""
-        if len(self._parts) > 500_000:
-            self._parts.clear()
-        out: list[list[int]] = []
-        odd: list[int] = []
-        tokenize, parts = self.library.model.tokenize, self._parts
-        for word in words:
-            ids: list[int] = []
-            if PLAIN.fullmatch(word):
-                for part in PART.findall(word.lower()):
-                    own = parts.get(part)
-                    if own is None:
-                        own = parts[part] = [t.id for t in tokenize(part.translate(BYTE_LEVEL))]
-                    ids += own
-            elif word:
-                odd.append(len(out))
-            out.append(ids)
-        for k, found in zip(odd, self.library.encode_batch_fast([words[k] for k in odd], add_special_tokens=False), strict=True):
-            out[k] = found.ids
-        return out
+        self.parts = RaggedCache(self._merged, 500_000)
+        self.others = RaggedCache(self._chained, 200_000)
+
+    def _merged(self, parts: list[str]) -> Iterator[list[int]]:
+        tokenize = self.library.model.tokenize
+        for part in parts:
+            yield [] if part == "\n" else [t.id for t in tokenize(part if part.isascii() else part.translate(BYTE_LEVEL))]
+
+    def _chained(self, words: list[str]) -> list[list[int]]:
+        return [found.ids for found in self.library.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and how many each word has."""
+        plain = pc.match_substring_regex(words, PLAIN)
+        mask = plain.to_numpy(zero_copy_only=False)
+        ids, lengths = self.others.runs(self.others.rows(words.filter(pc.invert(plain)).to_pylist()))
+        if not mask.any():
+            return ids, lengths
+        own = words.filter(plain)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own), "\n")[0].as_py()
+        rows = self.parts.rows(PART.findall(joined.lower() + "\n"))
+        own_ids, own_lengths = self.parts.runs(rows)
+        ends = np.cumsum(own_lengths)[rows == rows[-1]]  # the last part is a line feed
+        every = np.empty(len(words), np.int64)
+        every[mask], every[~mask] = np.diff(ends, prepend=0), lengths
+        inside, flat = np.repeat(mask, every), np.empty(len(ids) + len(own_ids), np.int32)
+        flat[inside], flat[~inside] = own_ids, ids
+        return flat, every
 
     def encode_many(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of every text; nulls count as empty."""
@@ -186,7 +191,11 @@ class WordTokenizer:
             if whole.any():
                 lists = [[t] if odd else w for t, w, odd in zip(block.to_pylist(), words.to_pylist(), whole, strict=True)]
                 words = pa.array(lists, pa.list_(pa.string()))
-            out += self.cache.encode_lists(words)
+            coded = words.flatten().dictionary_encode()
+            flat, lengths = self._distinct(coded.dictionary)
+            ends = np.cumsum(lengths)
+            index = coded.indices.to_numpy(zero_copy_only=False)
+            out += per_list(words, *gathered(flat, (ends - lengths)[index], ends[index]))
         return out
 
 
