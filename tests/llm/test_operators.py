@@ -217,6 +217,37 @@ def test_token_files(spark, docs, nothing):
     assert wavelet.token_files(nothing, path).count() == 0
 
 
+def test_token_files_answer_without_decoding(spark, tmp_path):
+    """Shards of 50 ids, null and repeated ids and a document longer than a shard: counts, occurrences and ids by position."""
+    path, file = public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "shards")
+    texts = [(None, "the null one"), (3, "the third"), (3, "third again the"), (9, "the long one " * 60), (5, None), (7, "")] + [(k, f"plain {k} the") for k in range(20, 60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    wavelet.write_tokens(docs.repartition(3), file, path, shard_tokens=50)
+    rows = wavelet.read_tokens(spark, file, with_ids=True).orderBy("start").collect()
+    assert sorted(repr(r["doc_id"]) for r in rows) == sorted(repr(k) for k, _ in texts) and rows[0]["doc_id"] is None
+    assert spark.read.parquet(file).count() > 4
+    whole = [(r["doc_id"], k, int(t)) for r in rows for k, t in enumerate(np.frombuffer(r["ids"], "<u4"))]
+    library = wavelet.tokenizer(path).library
+    the, long = (library.encode(w, add_special_tokens=False).ids[0] for w in ("the", "long"))
+    counted = {r["token"]: r["n"] for r in wavelet.count_tokens(spark, file, [the, long, 1, 49_000, the]).collect()}
+    assert counted == {t: sum(x == t for _, _, x in whole) for t in (the, long, 1, 49_000)}
+    found = wavelet.find_tokens(spark, file, [the, long, 49_000]).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(repr((t, d, k)) for d, k, t in whole if t in (the, long))
+    asked = [0, 1, 49, 50, 51, 200, len(whole) - 1, len(whole), -1]
+    assert {(r["position"], r["token"]) for r in wavelet.tokens_at(spark, file, asked).collect()} == {(p, whole[p][2]) for p in asked[:-2]}
+
+
+def test_token_files_of_another_tokenizer():
+    """A file that states another normalizer or pattern goes through the library whole."""
+    import pyarrow as pa
+
+    other = wavelet.WordTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    made = ["The Plain Text", " it's  1234\n", "", None, "Ünï\x1ccode"]
+    expected = [other.library.encode(t or "", add_special_tokens=False).ids for t in made]
+    assert not other.by_words and [x.tolist() for x in other.encode_many(pa.array(made))] == expected
+    assert wavelet.tokenizer(public_tokenizers.path("word_bpe_49k.json")).by_words
+
+
 @pytest.mark.parametrize("ids", [[7], [5, 5, 5], list(range(70)), [rnd.randrange(300) ** 2 for _ in range(3000)]])
 def test_wavelet_matrix(ids):
     matrix = wavelet.WaveletMatrix.build(np.array(ids))
@@ -224,6 +255,7 @@ def test_wavelet_matrix(ids):
     for at in range(0, len(ids), 37):
         assert matrix.access(at) == ids[at] and matrix.rank(ids[at], at) == ids[:at].count(ids[at])
         assert matrix.select(ids[at], ids[:at].count(ids[at])) == at
+        assert matrix.positions(ids[at]).tolist() == [k for k, x in enumerate(ids) if x == ids[at]]
     assert matrix.rank(999_999, len(ids)) == 0 and matrix.select(ids[0], len(ids)) == -1
 
 
