@@ -65,7 +65,7 @@ class WaveletMatrix:
             planes.append(packed.tobytes())
             per_block = np.add.reduceat(np.bitwise_count(packed), np.arange(0, len(packed), RANK_BLOCK // 8), dtype=np.uint32)
             counts.append(np.concatenate(([0], np.cumsum(per_block))).astype("<u4").tobytes())
-            current = np.concatenate((current[np.logical_not(ones)], current[ones]))
+            current = np.concatenate((np.compress(np.logical_not(ones), current), np.compress(ones, current)))
         return cls(len(ids), alphabet, planes, counts)
 
     def to_ids(self) -> np.ndarray:
@@ -74,10 +74,9 @@ class WaveletMatrix:
         current = np.zeros(self.size, kind)
         for k in range(self.bits - 1, -1, -1):
             ones = np.unpackbits(np.frombuffer(self.planes[k], np.uint8), count=self.size, bitorder="little").view(bool)
-            zeros = self.size - int(np.count_nonzero(ones))
             earlier = np.empty(self.size, kind)
-            earlier[~ones] = current[:zeros]
-            earlier[ones] = current[zeros:] | kind(1 << (self.bits - 1 - k))
+            earlier[np.flatnonzero(~ones)] = current[: self._zeros[k]]
+            earlier[np.flatnonzero(ones)] = current[self._zeros[k] :] | kind(1 << (self.bits - 1 - k))
             current = earlier
         return self.alphabet[current] if self.size else np.empty(0, np.uint32)
 

@@ -237,6 +237,16 @@ def test_token_files_answer_without_decoding(spark, tmp_path):
     assert {(r["position"], r["token"]) for r in wavelet.tokens_at(spark, file, asked).collect()} == {(p, whole[p][2]) for p in asked[:-2]}
 
 
+def test_words_are_encoded_as_by_the_library():
+    import pyarrow as pa
+
+    encoder = wavelet.tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    signs = [*"abcehintABÄÖßÿ ×÷ \n\t.,'é日執1<0x>%́😀\x00²Œſİ\x1c\x85\xa0\xad|{}~-&", "  ", "the", "ing", "<|endoftext|>", "'s", "'ll", "1234", "ǅ"]
+    made = ["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 60))) for _ in range(3000)]
+    expected = [found.ids for found in encoder.library.encode_batch(made, add_special_tokens=False)]
+    assert [x.tolist() for x in encoder.encode_many(pa.array(made))] == expected
+
+
 def test_token_files_of_another_tokenizer():
     """A file that states another normalizer or pattern goes through the library whole."""
     import pyarrow as pa
