@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import Window, functions as F
 
 from shelfstream.functions import thresholds
@@ -162,6 +163,80 @@ def test_a_file_started_anew_is_read_from_its_beginning():
     assert [(b.file, b.start, b.end) for b in blocks] == [("a", 0, 10), ("a", 10, 12), ("c", 0, 1)]
 
 
+def test_a_file_that_begins_with_other_bytes_is_read_from_its_beginning(tmp_path):
+    """Also if it has grown past the length read before; short beginnings are compared over the length they had."""
+    (tmp_path / "in").mkdir()
+    reader = log_source.GrowingLogReader(str(tmp_path / "in"), 1 << 20)
+
+    def take(before):
+        after = log_source.GrowingLogReader(reader.path, 1 << 20).latestOffset() if len(before["files"]) % 2 else reader.latestOffset()
+        lines = {}
+        for block in reader.partitions(before, after):
+            for batch in reader.read(block):
+                lines.setdefault(block.file.rsplit("/", 1)[1], []).extend(batch.column("line").to_pylist())
+        return after, lines
+
+    short, long, kept = (tmp_path / "in" / name for name in ("short", "long", "kept"))
+    short.write_text("one\n")
+    long.write_text("x" * 300 + "\n")
+    kept.write_text("y" * 100 + "\n")
+    offset, lines = take(reader.initialOffset())
+    assert lines == {"short": ["one"], "long": ["x" * 300], "kept": ["y" * 100]}
+    assert take(offset)[1] == {}
+    short.write_text("two\nthree\n")
+    long.write_text("z" * 400 + "\nnew\n")
+    kept.write_text("y" * 100 + "\n" + "more" * 100 + "\n")
+    offset, lines = take(offset)
+    assert lines == {"short": ["two", "three"], "long": ["z" * 400, "new"], "kept": ["more" * 100]}
+    assert take(offset)[1] == {}
+
+
+def test_many_log_files_and_a_missing_folder(tmp_path):
+    """Files that have not changed are not opened again; a folder that is not there is an error."""
+    for k in range(3000):
+        (tmp_path / f"{k}.log").write_text(f"line {k}\n")
+    reader, opened = log_source.GrowingLogReader(str(tmp_path), 1 << 20), []
+    reader._head = lambda store, file, size, own=reader._head: opened.append(file) or own(store, file, size)
+    offset = reader.latestOffset()
+    assert len(opened) == 3000 and len(reader.partitions(reader.initialOffset(), offset)) == 3000
+    (tmp_path / "7.log").write_text("line 7\nagain\n")
+    latest = reader.latestOffset()
+    blocks = reader.partitions(offset, latest)
+    assert len(opened) == 3002 and [(b.start, b.end) for b in blocks] == [(7, 13)]
+    with pytest.raises(FileNotFoundError):
+        log_source.GrowingLogReader(str(tmp_path / "none"), 10).latestOffset()
+
+
+def test_missing_hours_are_reported_and_withdrawn_as_lines_come(spark, tmp_path):
+    source, out, mark = (str(tmp_path / name) for name in ("in", "out", "mark"))
+    written = []
+
+    def run(*lines):
+        written.extend(lines)
+        new = spark.createDataFrame([(s, f"2024-01-15 {t}:00Z") for s, t in lines], "source string, t string")
+        new.select("source", F.col("t").cast("timestamp").alias("ts")).coalesce(1).write.mode("append").parquet(source)
+        lines = spark.readStream.schema("source string, ts timestamp").parquet(source)
+        alerts.stream_missing_hours(lines, "2024-01-15 08:00:00", 3, out, mark).awaitTermination()
+        found = alerts.missing_hours(spark, out).select("source", F.unix_seconds("hour").alias("s"), "severity").collect()
+        assert all(r.severity == 1 for r in found)
+        return {(r.source, r.s // 3600 % 24) for r in found}
+
+    def expected():
+        """The batch operator's rows for each source, up to the hour before the newest line."""
+        newest = max(int(t[:2]) for _, t in written)
+        missing = set()
+        for name in {s for s, _ in written}:
+            stamps = spark.createDataFrame([(f"2024-01-15 {t}:00",) for s, t in written if s == name], "t string")
+            batch = logs.missing_hours(stamps.select(F.col("t").cast("timestamp_ntz").alias("ts")), "2024-01-15 08:00:00", f"2024-01-15 {newest - 1:02}:00:00")
+            missing |= {(name, r.hour.hour) for r in batch.collect()}
+        return missing
+
+    assert run(("a", "08:10"), ("a", "08:20"), ("b", "09:59"), ("a", "12:00")) == expected() == {("a", 9), ("a", 10), ("a", 11), ("b", 8), ("b", 10), ("b", 11)}
+    # A late line withdraws; a source that has fallen silent is reported when the others go on.
+    assert run(("a", "10:30"), ("a", "14:01")) == expected()
+    assert ("b", 13) in run(("a", "13:00"), ("a", "15:00")) and ("a", 13) not in run(("a", "15:10"))
+
+
 def test_streamed_windows_show_while_they_are_open(spark, tmp_path):
     source, out, mark = (str(tmp_path / name) for name in ("in", "out", "mark"))
 
