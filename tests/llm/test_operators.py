@@ -428,14 +428,14 @@ def layouts(seed):
         yield f"<html><body>{html}</body></html>", content, other
 
 
-def test_html_recall_on_held_out_layouts():
-    """Blocks of layouts the table does not hold: at least 0.99 of the article's and at most 0.03 of the others are taken."""
+@pytest.mark.parametrize("seed", [5, 100, 101])
+def test_html_recall_on_drawn_layouts(seed):
+    """At least 0.99 of the article's blocks and at most 0.03 of the others are taken; labels were adjusted on seed 5 only."""
     tree, kept, content, taken, other = html_text.trained(), 0, 0, 0, 0
-    for html, inside, outside in layouts(5):
+    for html, inside, outside in layouts(seed):
         found = Counter(html_text.main_text(html, tree).split("\n"))
         kept, content = kept + (found & Counter(inside)).total(), content + len(inside)
         taken, other = taken + (found - Counter(inside)).total(), other + len(outside)
-    print(kept / content, taken / other)
     assert kept >= 0.99 * content and taken <= 0.03 * other
 
 
