@@ -241,12 +241,20 @@ def long_query(activity: DataFrame, now: str, warn_hours: int = 5, crit_hours: i
     return oldest.select("database", hours.alias("hours"), classify(hours, warn_hours, crit_hours).alias("severity"))
 
 
-def _run_pieces(run: Column, size: int) -> Column:
-    """All substrings of ``run`` with ``size`` characters."""
-    last = F.length(run) - size + 1
-    return F.when(
-        last >= 1, F.transform(F.sequence(F.lit(1), last), lambda start: F.substring(run, start, F.lit(size)))
-    ).otherwise(F.array().cast("array<string>"))
+def _pieces(lines: DataFrame, digit_sizes: list[int], hex_sizes: list[int]) -> DataFrame:
+    """(line_no, term): all substrings of digits, and of hexadecimal digits, that have one of the sizes (ascending).
+
+    The latter may leave out substrings of digits only, as those have sizes of their own.
+    """
+    parts = [
+        F.regexp_extract_all("line", F.lit(f"{alphabet}{{{sizes[0]},}}"), F.lit(0))
+        for alphabet, sizes in (("[0-9]", digit_sizes), ("[0-9a-f]", hex_sizes)) if sizes
+    ]
+    runs = lines.select("line_no", F.explode(F.concat(*parts)).alias("run"))
+    sizes = F.when(F.col("run").rlike("[a-f]"), F.lit(hex_sizes)).otherwise(F.lit(digit_sizes)).cast("array<int>")
+    sized = runs.select("line_no", "run", F.explode(sizes).alias("size")).filter("length(run) >= size")
+    placed = sized.select("line_no", "run", "size", F.explode(F.expr("sequence(1, length(run) - size + 1)")).alias("at"))
+    return placed.select("line_no", F.expr("substring(run, at, size)").alias("term"))
 
 
 def trace_related_lines(
@@ -263,41 +271,47 @@ def trace_related_lines(
     *later* lines, transitively.  ``lines`` carries ``line_no`` and ``line``.
 
     Followed terms are digits or hexadecimal digits, so each line is cut into
-    the substrings of its hexadecimal runs that have a term's length, and the
-    substring test becomes an equi-join.  A term counts from the first reached
-    line that yields it; a line that holds a term and yields others is a step
-    from the one to the others at its line number.  The earliest line of each
-    term settles by relaxing the steps, several hops in one plan and twice as
-    many in the next, so a chain of n hops takes about log2(n) jobs.
+    the substrings that have a term's alphabet and length, and the substring
+    test becomes an equi-join.  A term counts from the first reached line that
+    yields it; a line that holds a term and yields others is a step from the
+    one to the others at its line number.  No line up to the first that yields
+    a term is reached by it, so its steps begin behind that line.  The earliest
+    line of each term settles by relaxing the steps, several hops in one plan
+    and twice as many in the next, so a chain of n hops takes about log2(n) jobs.
     """
     direct = F.col("line").contains(search)
     if include_errors:
         direct = direct | F.col("line").contains("[ERR")
     patterns = [p for p, on in ((LINE_PID, follow_pid), (LINE_AUTH, follow_auth), (LINE_TRACE, follow_trace)) if on]
-    first = lines.filter(direct).select("line_no")
     if not patterns:
+        return lines.join(lines.filter(direct).select("line_no"), "line_no", "left_semi")
+
+    terms = F.array_distinct(F.array_remove(F.array(*[F.regexp_extract("line", p, 1) for p in patterns]), ""))
+    found = lines.select("line_no", F.explode_outer(terms).alias("term"), direct.alias("direct"))
+    found = materialize(found.filter("line_no IS NOT NULL AND (direct OR term IS NOT NULL)"), "trace-yields")
+    first, yields = found.filter("direct").select("line_no"), found.filter("term IS NOT NULL")
+    digits, head = F.col("term").rlike("^[0-9]+$"), F.substring("term", 1, 15).try_cast("long")
+    # One row for each distinct term length and alphabet: a handful of small numbers.
+    kinds = yields.groupBy(digits.alias("digits"), F.length("term").alias("size")).agg(
+        F.min(head).alias("low"), F.max(head).alias("high"), F.min(F.when(F.col("direct"), F.col("line_no"))).alias("start")
+    ).orderBy("digits", "size").collect()
+    start = min((k["start"] for k in kinds if k["start"] is not None), default=None)
+    if start is None:
         return lines.join(first, "line_no", "left_semi")
-
-    terms = F.array_distinct(
-        F.array_compact(F.array(*[F.nullif(F.regexp_extract("line", p, 1), F.lit("")) for p in patterns]))
-    )
-    yields = materialize(lines.select("line_no", F.explode(terms).alias("term"), direct.alias("direct")), "trace-yields")
-    known_terms = yields.select("term").distinct()
-    # The distinct term lengths: a handful of small numbers.
-    sizes = sorted(row["size"] for row in known_terms.select(F.length("term").alias("size")).distinct().collect())
-    if not sizes:
-        return lines.join(first, "line_no", "left_semi")
-    runs = lines.select("line_no", F.explode(F.regexp_extract_all("line", F.lit("([0-9a-f]+)"), F.lit(1))).alias("run"))
-    pieces = runs.select(
-        "line_no",
-        F.explode(F.array_distinct(F.concat(*[_run_pieces(F.col("run"), size) for size in sizes]))).alias("term"),
-    )
-    holds = materialize(pieces.join(known_terms, "term", "left_semi").distinct(), "trace-holds")
-    steps = holds.join(yields.select("line_no", F.col("term").alias("next")), "line_no").filter("term <> next")
-    steps = materialize(steps.select("term", "next", "line_no"), "trace-steps")
+    fits = F.lit(False)
+    for k in kinds:
+        fits = fits | (F.length("term") == k["size"]) & (head.between(k["low"], k["high"]) if k["digits"] else F.lit(True))
+    digit_sizes, hex_sizes = ([k["size"] for k in kinds if k["digits"] == only] for only in (True, False))
+    pieces = _pieces(lines.filter(F.col("line_no") > start), digit_sizes, hex_sizes).filter(fits)
+    known = yields.filter(F.col("line_no") >= start).groupBy("term").agg(F.min("line_no").alias("first"))
+    holds = pieces.join(known, "term").filter(F.col("line_no") > F.col("first")).select("line_no", "term")
+    # Spread by line once, for the distinct rows and for the join.
+    holds = holds.repartition("line_no").distinct()
+    steps = holds.join(yields.select("line_no", F.col("term").alias("next")), "line_no", "left")
+    steps = materialize(steps.select("term", F.nullif("next", "term").alias("next"), "line_no"), "trace-steps")
     since = yields.filter("direct").groupBy("term").agg(F.min("line_no").alias("since"))
-    since = _earliest(since, steps)
-    later = holds.join(since, "term").filter(F.col("line_no") > F.col("since")).select("line_no")
+    since = _earliest(since, steps.filter("next IS NOT NULL"))
+    later = steps.join(since, "term").filter(F.col("line_no") > F.col("since")).select("line_no")
     return lines.join(first.unionByName(later).distinct(), "line_no", "left_semi")
 
 
@@ -309,12 +323,13 @@ def _earliest(since: DataFrame, steps: DataFrame) -> DataFrame:
 
     A step counts if its line comes after its term's.  Every round writes the numbers with a count of those that its last
     hop brought down, and the rounds end when there are none.  In a hop each term is met once by its steps; terms are
-    folded before the shuffle.
+    folded before the shuffle.  The terms, which are unique, are hashed in their partitions: the steps are shuffled once a
+    round and stream past them unsorted.
     """
     def hop(table):
         reach = F.struct(F.col("next").alias("term"), F.col("line_no").alias("since"), F.lit(None).cast("long").alias("before"))
         own = F.struct("term", "since", F.col("since").alias("before"))
-        rows = table.join(steps, "term", "left").select(F.explode(F.array(own, F.when(F.col("line_no") > F.col("since"), reach))).alias("r"))
+        rows = table.hint("shuffle_hash").join(steps, "term", "left").select(F.explode(F.array(own, F.when(F.col("line_no") > F.col("since"), reach))).alias("r"))
         return rows.filter("r IS NOT NULL").groupBy("r.term").agg(F.min("r.since").alias("since"), F.min("r.before").alias("before"))
 
     table, hops = materialize(since, "trace-since"), FIRST_HOPS

@@ -65,6 +65,41 @@ def test_a_chain_of_200_hops_takes_few_tables(spark, monkeypatch):
     assert got == [*range(10, 210), 401] and len(written) < 13 and sum(x == "trace-since" for x in written) < 10
 
 
+def test_trace_terms_inside_longer_runs_repeated_rows_and_null_numbers(spark):
+    rng = random.Random(5)
+    tokens = [f"{k:032x}" for k in (3, 10, 11)] + ["1234567890" * 3 + "12", "ab" * 16]
+    lines = []
+    for n in range(300):
+        message = rng.choice(["start", f"see {rng.randrange(10**9)}", f"{rng.randrange(100)}{rng.choice(tokens)}f{rng.randrange(10)}", f"x{rng.randrange(1000, 1300)}", "-"])
+        lines.append((n, f"[2020-01-01 00:00:00] host{n % 3} [INFO:{rng.randrange(20000, 20900)}:M.pm:{n % 9}:{rng.choice((1000, 110000)) + n}] {message}"))
+    rows = [*lines, *lines, (None, f"[t] h [INFO:20001:M.pm:1:1001] {tokens[1]}")]
+    df = spark.createDataFrame(rows, "line_no bigint, line string")
+    every = {"follow_pid": logs.LINE_PID, "follow_auth": logs.LINE_AUTH, "follow_trace": logs.LINE_TRACE}
+    for flags in (["follow_auth"], ["follow_trace"], ["follow_auth", "follow_trace"], list(every)):
+        for search in (tokens[1], "x12", "not there"):
+            want = brute_trace(lines, search, [every[f] for f in flags])
+            got = sorted(r.line_no for r in logs.trace_related_lines(df, search, **dict.fromkeys(flags, True)).collect())
+            assert got == sorted(want * 2), (flags, search)
+
+
+def test_unrelated_lines_take_no_part_in_the_rounds(spark, monkeypatch):
+    """A line's own trace id and token, which no other line holds, are written nowhere but in the list of terms."""
+    line = "[2020-01-01 00:00:00] h [INFO:1:M.pm:1:{}] {}"
+    lines = [(n, line.format(5_000_000 + n, f"login token {n:031d}b")) for n in range(500)]
+    related = [(500, line.format(6_000_000, "find me")), (501, line.format(6_000_001, "call 6000000")), (502, line.format(6_000_002, "call 6000001"))]
+    df = spark.createDataFrame([*lines, *related], "line_no bigint, line string")
+    written = {}
+
+    def noted(table, label, keep=logs.materialize):
+        written.setdefault(label, []).append(kept := keep(table, label))
+        return kept
+
+    monkeypatch.setattr(logs, "materialize", noted)
+    got = sorted(r.line_no for r in logs.trace_related_lines(df, "find me", follow_auth=True, follow_trace=True).collect())
+    assert got == [500, 501, 502]
+    assert sum(t.count() for label, tables in written.items() if label not in ("trace-yields", "trace-since") for t in tables) <= 4
+
+
 def test_trace_can_include_errors(spark):
     df = spark.createDataFrame([(1, "[t] h [ERR :1:M.pm:1:2] x"), (2, "[t] h [INFO:9:M.pm:1:3] y")], "line_no bigint, line string")
     assert [r.line_no for r in logs.trace_related_lines(df, "zzz", include_errors=True).collect()] == [1]
