@@ -4,10 +4,13 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +118,53 @@ def test_substring_dedup(docs, nothing):
     assert substring_dedup.remove_repeated_windows(nothing).count() == 0
 
 
+def test_substring_dedup_in_small_pieces(docs, monkeypatch):
+    """Many packs, names compared in blocks and results sent in pieces change nothing."""
+    whole = keyed(substring_dedup.remove_repeated_windows(docs))
+    for module, name, value in ((repeats, "PACK_BYTES", 3000), (repeats, "HASH_BLOCK", 64), (substring_dedup, "SENT_BYTES", 100)):
+        monkeypatch.setattr(module, name, value)
+    assert keyed(substring_dedup.remove_repeated_windows(docs)) == whole
+
+
+def test_packs_lie_in_small_row_groups(spark, monkeypatch):
+    """A writer looks at its buffers at every pack, so what a reader decodes at a time doesn't grow with a task's input."""
+    monkeypatch.setattr(repeats, "PACK_BYTES", 20_000)
+    monkeypatch.setattr(repeats, "ROW_GROUP_BYTES", 50_000, raising=False)
+    given = spark.createDataFrame([(k, prose(3000)) for k in range(60)], "doc_id long, text string").coalesce(1)
+    packs, size, path = repeats.write_packs(given, "text", "doc_id")
+    files = [pq.ParquetFile(f) for f in Path(path).glob("*.parquet")]
+    groups = [f.metadata.row_group(k) for f in files for k in range(f.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == packs.count() > 40 and size > 900_000
+    assert max(g.num_rows for g in groups) <= 12
+
+
+def test_words_of_a_pack_take_little_memory(monkeypatch):
+    data = [prose(100).encode() for _ in range(2000)]
+    pack = repeats.Pack({"docs": list(range(2000)), "lengths": [len(t) for t in data], "data": b"".join(data)})
+    tracemalloc.start()
+    words = substring_dedup.Words(pack)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 14 * len(pack.data)
+    spans = list(zip(words.first.tolist(), words.last.tolist(), strict=True))
+    assert [bytes(pack.data[a:b]) for a, b in spans] == [w for t in data for w in t.split(b" ")]
+    at = np.arange(0, len(words.first) - 50, 3)
+    names = words.names(at, 50)
+    for module in (repeats, substring_dedup):
+        monkeypatch.setattr(module, "HASH_BLOCK", 70)
+    again = substring_dedup.Words(pack)
+    assert np.array_equal(again.keys, words.keys) and np.array_equal(again.names(at, 50), names)
+
+
+def test_words_are_joined_by_one_blank():
+    text = b"  ab\t c\n\nde \xc3\xa9 f "
+    spans = [m.span() for m in re.finditer(rb"[^ \t\n]+", text)]
+    for chosen in range(1 << len(spans)):
+        own = [s for k, s in enumerate(spans) if chosen >> k & 1]
+        first, last = (np.array([s[k] for s in own], np.int32) for k in (0, 1))
+        assert substring_dedup._joined_words(np.frombuffer(text, np.uint8), first, last) == b" ".join(text[a:b] for a, b in own)
+
+
 def test_exact_dedup(docs, nothing):
     plain = {k: re.sub("[\x20\x09-\x0d]+", " ", t) for k, t in texts().items()}
     got = keyed(exact_dedup.exact_dedup(docs, ["doc_id", "text", "block"]))
