@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from shelfstream.llm.repeats import (
-    HASH_BLOCK, Pack, answered_map, covered_runs, difference_cover, discard, read_answers, window_names, word_keys, write_large_rows,
-    write_packs,
+    HASH_BLOCK, READ_IN_PIECES, Pack, answered_map, covered_runs, difference_cover, discard, read_answers, window_names, word_keys,
+    write_large_rows, write_packs,
 )
 from shelfstream.session import fresh_path
 
@@ -149,7 +149,7 @@ def remove_repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "
     regions = answered_map(packs, anchor_names, anchors, region, arrow_region, REGION_SCHEMA)
     write_large_rows(regions.observe(seen, F.sum("n_windows").alias("windows")), path)
     discard(spark, packed)
-    found = spark.read.parquet(path)
+    found = spark.read.options(**READ_IN_PIECES).parquet(path)
     windows = seen.get["windows"] or 0
 
     def starts_of(row: dict) -> np.ndarray:
